@@ -50,22 +50,13 @@ SEAT_AT_END = (
     r"|MI-MH|MI|EWS|TFWS|ORPHAN|AI)\s*$"
 )
 MARKED_SEAT_AT_END = r"([~^*@&])\s+" + SEAT_AT_END
+ANY_SEAT_AT_END = r"(?:([~^*@&])\s+)?" + SEAT_AT_END
 
 # --- category clean-up ------------------------------------------------------------------------
-CATEGORY_NOISE = (
-    (r"/(?:DEF|PH)\d+", ""),
-    (r"\s*\(NT-[ABCD]\)", ""),
-    (r"[$#@]+", ""),
-    (r"\s+", " "),
-)
+CATEGORY_SUFFIXES = (r"/(?:DEF|PH)\d+", r"\s*\(NT-[ABCD]\)")
+CATEGORY_SIGNS = "$#@"
+CATEGORY_LEADING_WORDS = ("OPEN", "EWS", "SBC", "SEBC", "OBC", "SC", "ST")
 CATEGORY_PATTERNS = (
-    ("OPEN", r"(?i)^OPEN"),
-    ("EWS", r"(?i)^EWS"),
-    ("SBC", r"(?i)^SBC"),
-    ("SEBC", r"(?i)^SEBC"),
-    ("OBC", r"(?i)^OBC"),
-    ("SC", r"(?i)^SC"),
-    ("ST", r"(?i)^ST"),
     ("VJ/DT", r"(?i)^DT|^VJ"),
     ("NT1", r"(?i)NT\s*1|NT\s*A"),
     ("NT2", r"(?i)NT\s*2|NT\s*B|NT\s*C"),

@@ -64,8 +64,18 @@ SEAT_POOL_RULES = [
 ]
 
 
-def clean_category(column):
-    return first_match(column, CATEGORY_RULES, otherwise=column)
+def leading_category(column):
+    """The category word a text begins with, '' if none.
+
+    One anchored alternation, tried in list order, in place of one regex per word.
+    """
+    words = "|".join(fixed.CATEGORY_LEADING_WORDS)
+    return F.upper(F.regexp_extract(column, f"(?i)^({words})", 1))
+
+
+def clean_category(column, leading):
+    """Standard name of a category; `leading` is its `leading_category`, computed in an earlier projection."""
+    return F.when(leading != "", leading).otherwise(first_match(column, CATEGORY_RULES, otherwise=column))
 
 
 def clean_category_v1(column):

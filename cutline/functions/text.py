@@ -1,7 +1,5 @@
 """Text expressions: coercion, category clean-up, seat codes inside categories, display formats."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from cutline import fixed_values as fixed
@@ -9,10 +7,9 @@ from cutline import fixed_values as fixed
 
 def tidy_category(column):
     """Remove disability/defence suffixes, tribe labels and footnote signs; collapse spaces."""
-    cleaned = reduce(
-        lambda text, step: F.regexp_replace(text, step[0], step[1]), fixed.CATEGORY_NOISE, column
-    )
-    return F.trim(cleaned)
+    for suffix in fixed.CATEGORY_SUFFIXES:
+        column = F.regexp_replace(column, suffix, "")
+    return F.trim(F.regexp_replace(F.translate(column, fixed.CATEGORY_SIGNS, ""), r"\s+", " "))
 
 
 def blank_to_null(column):
@@ -25,7 +22,7 @@ def text_to_int(column):
 
 
 def display_number(column):
-    return F.coalesce(F.format_string("%.2f", column), F.lit(fixed.DISPLAY_MISSING))
+    return F.when(column.isNotNull(), F.format_string("%.2f", column)).otherwise(fixed.DISPLAY_MISSING)
 
 
 def display_round(column):
@@ -36,17 +33,16 @@ def display_round(column):
 def split_embedded_seat(df, strict_reference=True):
     """Move a seat code (and marker) that sits at the end of the category into its own columns.
 
-    A marked code is tried first, then a bare one. `strict_reference=True` also strips a trailing
+    One pattern with an optional marker finds marked and bare codes: a code holds no marker sign, so a
+    marked code can never follow a bare one in the same text. `strict_reference=True` also strips a trailing
     code from the category of rows whose seat was known already, so the category 'EWS' becomes ''.
     With False only rows whose seat was taken from the category are stripped.
     """
     category = F.col("candidate_category")
     missing = F.coalesce(F.col("seat_type"), F.lit("")) == ""
-    marked_code = F.regexp_extract(category, fixed.MARKED_SEAT_AT_END, 2)
-    bare_code = F.regexp_extract(category, fixed.SEAT_AT_END, 1)
     found = df.withColumns({
-        "_found_seat": F.when(missing, F.coalesce(blank_to_null(marked_code), bare_code)),
-        "_found_marker": F.when(missing, F.regexp_extract(category, fixed.MARKED_SEAT_AT_END, 1)),
+        "_found_seat": F.when(missing, F.regexp_extract(category, fixed.ANY_SEAT_AT_END, 2)),
+        "_found_marker": F.when(missing, F.regexp_extract(category, fixed.ANY_SEAT_AT_END, 1)),
     })
     has_seat = F.col("_found_seat") != ""
     untouched = F.regexp_replace(category, fixed.SEAT_AT_END, "") if strict_reference else category

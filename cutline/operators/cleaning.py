@@ -32,9 +32,12 @@ def coerce_types(df, score_type="double"):
 
 
 def with_clean_category(df):
-    """Tidied category and its standard name, in two projections so that the regex chain runs once."""
+    """Tidied category and its standard name, in stacked projections so that each regex runs once."""
     tidied = df.withColumn("candidate_category", text.tidy_category(F.col("candidate_category")))
-    return tidied.withColumn("clean_category", rules.clean_category(F.col("candidate_category")))
+    led = tidied.withColumn("_leading", rules.leading_category(F.col("candidate_category")))
+    return led.withColumn(
+        "clean_category", rules.clean_category(F.col("candidate_category"), F.col("_leading"))
+    ).drop("_leading")
 
 
 def with_seat_attributes(df):

@@ -1,9 +1,9 @@
 """Silver to Gold: cutoff marts.
 
-Both marts roll up from `seat_facts`, the finest grain (main keys plus pool). Partial aggregation
-reduces each task to one row per key before the shuffle, so a hot key costs one row per task. The
-set of pools is collected over the reduced facts, which keeps the wide first aggregate free of
-object buffers and inside code generation.
+Every mart rolls up from `seat_facts`, one row per finest key and round. That first aggregate is the
+only one that reads Silver: three plain measures, reduced in each task before the shuffle, so a hot
+key costs one row per task. The spread over round columns and the set of pools are computed on the
+reduced facts, whose number grows with the keys and not with the rows.
 """
 
 from pyspark.sql import functions as F
@@ -14,36 +14,35 @@ ROUNDS = tuple(range(1, len(fixed.ROUND_LABELS) + 1))
 FACT_KEYS = (*fixed.MAIN_MART_KEYS, "seat_pool")
 
 
-def _in_round(number, value):
-    return F.when(F.col("cap_round_num") == number, value)
+def seat_facts(silver, keys=FACT_KEYS):
+    """Lowest score, highest score and number of seats per key and round."""
+    return silver.groupBy(*keys, "cap_round_num").agg(
+        F.min("mhtcet_score").alias("low"),
+        F.max("mhtcet_score").alias("high"),
+        F.count(F.lit(1)).alias("seats"),
+    )
 
 
-def seat_facts(silver, keys=FACT_KEYS):
-    """Per key: lowest and highest score and seat count of each round, and the total."""
-    score = F.col("mhtcet_score")
-    measures = []
-    for n in ROUNDS:
-        measures += [
-            F.min(_in_round(n, score)).alias(f"cap{n}_low"),
-            F.max(_in_round(n, score)).alias(f"cap{n}_high"),
-            F.count(_in_round(n, F.lit(1))).alias(f"cap{n}_seats"),
-        ]
-    return silver.groupBy(*keys).agg(*measures, F.count(F.lit(1)).alias("total_seats_filled"))
+def _in_round(number, value, included=None):
+    condition = F.col("cap_round_num") == number
+    return F.when(condition if included is None else condition & included, F.col(value))
+
+
+def _cutoffs(included=None):
+    return [F.round(F.min(_in_round(n, "low", included)), 4).alias(f"cap{n}_cutoff") for n in ROUNDS]
 
 
-def _cutoffs():
-    return [F.round(F.min(f"cap{n}_low"), 4).alias(f"cap{n}_cutoff") for n in ROUNDS]
+def _tops(rounds=ROUNDS, included=None):
+    return [F.round(F.max(_in_round(n, "high", included)), 4).alias(f"cap{n}_max") for n in rounds]
 
 
-def _tops(rounds):
-    return [F.round(F.max(f"cap{n}_high"), 4).alias(f"cap{n}_max") for n in rounds]
+def _total(included=None):
+    seats = F.col("seats") if included is None else F.when(included, F.col("seats"))
+    return F.sum(seats).alias("total_seats_filled")
 
 
-def _seats():
-    return [
-        F.sum("total_seats_filled").alias("total_seats_filled"),
-        *[F.sum(f"cap{n}_seats").alias(f"cap{n}_seats") for n in ROUNDS],
-    ]
+def _seats(included=None):
+    return [F.coalesce(F.sum(_in_round(n, "seats", included)), F.lit(0)).alias(f"cap{n}_seats") for n in ROUNDS]
 
 
 def _filled_in_last_round(mart):
@@ -51,48 +50,35 @@ def _filled_in_last_round(mart):
 
 
 def main_mart_from_facts(facts, excluded_pools=fixed.POOLS_OUTSIDE_MAIN_MART):
-    mart = (
-        facts.filter(~F.col("seat_pool").isin(*excluded_pools))
-        .groupBy(*fixed.MAIN_MART_KEYS)
-        .agg(
-            *_cutoffs(), *_tops(ROUNDS), *_seats(),
-            F.sort_array(F.collect_set("seat_pool")).alias("seat_pools_available"),
-        )
+    """The lookup mart, without the pools that have other admission rules.
+
+    The exclusion is a condition on the measures and not a filter: a filter on a key is pushed through
+    the aggregates and evaluates the whole cleaning expression a second time below the joins. Groups
+    that hold excluded pools only have no last-round cutoff and drop out at the end.
+    """
+    included = ~F.col("seat_pool").isin(*excluded_pools)
+    mart = facts.groupBy(*fixed.MAIN_MART_KEYS).agg(
+        *_cutoffs(included), *_tops(included=included), _total(included), *_seats(included),
+        F.sort_array(F.collect_set(F.when(included, F.col("seat_pool")))).alias("seat_pools_available"),
     )
     return _filled_in_last_round(mart)
 
 
 def pool_mart_from_facts(facts):
-    mart = facts.groupBy(*fixed.POOL_MART_KEYS).agg(
-        *_cutoffs(), F.sum("total_seats_filled").alias("total_seats_filled")
-    )
-    return _filled_in_last_round(mart)
+    return _filled_in_last_round(facts.groupBy(*fixed.POOL_MART_KEYS).agg(*_cutoffs(), _total()))
 
 
 def main_mart(silver, excluded_pools=fixed.POOLS_OUTSIDE_MAIN_MART):
-    kept = silver.filter(~F.col("seat_pool").isin(*excluded_pools))
-    return main_mart_from_facts(seat_facts(kept), excluded_pools)
+    return main_mart_from_facts(seat_facts(silver), excluded_pools)
 
 
 def pool_mart(silver):
-    """Same measures by pool; the keys already hold the pool, so one aggregate is enough."""
-    facts = seat_facts(silver, fixed.POOL_MART_KEYS)
-    mart = facts.select(
-        *fixed.POOL_MART_KEYS,
-        *[F.round(f"cap{n}_low", 4).alias(f"cap{n}_cutoff") for n in ROUNDS],
-        "total_seats_filled",
-    )
-    return _filled_in_last_round(mart)
+    return pool_mart_from_facts(seat_facts(silver, fixed.POOL_MART_KEYS))
 
 
 def v1_mart(silver_v1):
     """The superseded mart: five keys, tops of the first and last round only, no pool exclusion."""
-    facts = seat_facts(silver_v1, fixed.V1_MART_KEYS)
-    mart = facts.select(
-        *fixed.V1_MART_KEYS,
-        *[F.round(f"cap{n}_low", 4).alias(f"cap{n}_cutoff") for n in ROUNDS],
-        *[F.round(f"cap{n}_high", 4).alias(f"cap{n}_max") for n in (ROUNDS[0], ROUNDS[-1])],
-        "total_seats_filled",
-        *[f"cap{n}_seats" for n in ROUNDS],
+    mart = seat_facts(silver_v1, fixed.V1_MART_KEYS).groupBy(*fixed.V1_MART_KEYS).agg(
+        *_cutoffs(), *_tops((ROUNDS[0], ROUNDS[-1])), _total(), *_seats()
     )
     return _filled_in_last_round(mart)

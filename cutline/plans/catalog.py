@@ -2,27 +2,21 @@
 
 from pyspark.sql import functions as F
 
+from cutline.functions import text
 from cutline.operators import cleaning, lookup, marts, privacy, quality, reports
-from cutline.functions import rules, text
-from cutline.plans.allotments import allotments
+from cutline.plans import layers
+from cutline.plans.catalog_files import DOCUMENTS, FILES, INCREMENTAL
 
 STUDENT = {"category": "OBC", "branch": "ECONOMY", "gender": "M", "score": 85.5}
 
 
-def silver(spark, sf_dir):
-    return cleaning.build_silver(allotments(spark, sf_dir)).drop("_load_ts")
+def cleaned(spark, sf_dir):
+    """The cleaning plan itself, over the written Bronze."""
+    return cleaning.build_silver(layers.bronze(spark, sf_dir)).drop("_load_ts")
 
 
-def silver_v1(spark, sf_dir):
-    return cleaning.build_silver_v1(allotments(spark, sf_dir)).drop("_load_ts")
-
-
-def gold(spark, sf_dir):
-    return marts.main_mart(silver(spark, sf_dir))
-
-
-def gold_v1(spark, sf_dir):
-    return marts.v1_mart(silver_v1(spark, sf_dir))
+def cleaned_v1(spark, sf_dir):
+    return cleaning.build_silver_v1(layers.bronze(spark, sf_dir)).drop("_load_ts")
 
 
 def _joined_pools(mart):
@@ -34,66 +28,66 @@ def _tally(df, *columns):
 
 
 def predict_colleges(spark, sf_dir):
-    return lookup.predict(gold(spark, sf_dir), **STUDENT)
+    return lookup.predict(layers.gold(spark, sf_dir), **STUDENT)
 
 
 def _separated(spark, sf_dir, strict_reference):
-    rows = text.split_embedded_seat(cleaning.valid_rows(allotments(spark, sf_dir)), strict_reference)
+    rows = text.split_embedded_seat(cleaning.valid_rows(layers.bronze(spark, sf_dir)), strict_reference)
     return rows.select("application_id", "cap_round", "candidate_category", "seat_type", "seat_marker")
 
 
 def _app(spark, sf_dir):
-    return lookup.app_results(gold(spark, sf_dir), **STUDENT)
+    return lookup.app_results(layers.gold(spark, sf_dir), **STUDENT)
 
 
 CLEAN = {
-    "valid_rows": lambda spark, d: cleaning.valid_rows(allotments(spark, d)).select(
+    "valid_rows": lambda spark, d: cleaning.valid_rows(layers.bronze(spark, d)).select(
         "cap_round", "institute_code", "branch_name", "application_id", "mhtcet_score",
         "candidate_category", "seat_type",
     ),
     "embedded_code": lambda spark, d: _separated(spark, d, True),
     "embedded_code_fixed": lambda spark, d: _separated(spark, d, False),
-    "clean_category": lambda spark, d: _tally(silver(spark, d), "candidate_category", "clean_category"),
-    "categorise_v1": lambda spark, d: _tally(silver_v1(spark, d), "candidate_category", "clean_category"),
-    "seat_gender_pool": lambda spark, d: _tally(silver(spark, d), "seat_type", "seat_gender", "seat_pool"),
-    "seat_gender_v1": lambda spark, d: _tally(silver_v1(spark, d), "seat_type", "seat_gender"),
-    "silver_full": silver,
+    "clean_category": lambda spark, d: _tally(cleaned(spark, d), "candidate_category", "clean_category"),
+    "categorise_v1": lambda spark, d: _tally(cleaned_v1(spark, d), "candidate_category", "clean_category"),
+    "seat_gender_pool": lambda spark, d: _tally(cleaned(spark, d), "seat_type", "seat_gender", "seat_pool"),
+    "seat_gender_v1": lambda spark, d: _tally(cleaned_v1(spark, d), "seat_type", "seat_gender"),
+    "silver_full": cleaned,
 }
 
 MARTS = {
     "predict_colleges": predict_colleges,
-    "predict_v1": lambda spark, d: lookup.predict_v1(gold_v1(spark, d), **STUDENT),
-    "outlook_all": lambda spark, d: lookup.with_outlook(gold(spark, d), STUDENT["score"]).select(
+    "predict_v1": lambda spark, d: lookup.predict_v1(layers.gold_v1(spark, d), **STUDENT),
+    "outlook_all": lambda spark, d: lookup.with_outlook(layers.gold(spark, d), STUDENT["score"]).select(
         "institute_code", "branch_name", "clean_category", "seat_gender", "is_ews", "is_tfws",
         "likely_round", "score_gap",
     ),
     "app_results": _app,
     "display_results": lambda spark, d: lookup.display_results(_app(spark, d)),
     "result_metrics": lambda spark, d: lookup.result_metrics(_app(spark, d)),
-    "mart_main": lambda spark, d: _joined_pools(gold(spark, d)),
-    "mart_by_pool": lambda spark, d: marts.pool_mart(silver(spark, d)),
-    "mart_v1": gold_v1,
+    "mart_main": lambda spark, d: _joined_pools(marts.main_mart(layers.silver(spark, d))),
+    "mart_by_pool": lambda spark, d: marts.pool_mart(layers.silver(spark, d)),
+    "mart_v1": lambda spark, d: marts.v1_mart(layers.silver_v1(spark, d)),
     "distributions": lambda spark, d: reports.distributions(
-        silver(spark, d), ("clean_category", "seat_pool", "seat_gender", "cap_round")
+        layers.silver(spark, d), ("clean_category", "seat_pool", "seat_gender", "cap_round")
     ),
-    "pool_gender_distribution": lambda spark, d: reports.distribution(silver(spark, d), "seat_pool", "seat_gender"),
-    "rows_per_round": lambda spark, d: reports.rows_per_round(silver(spark, d)),
-    "score_range": lambda spark, d: reports.score_range(silver(spark, d)),
-    "verify_layer": lambda spark, d: reports.verify_layer(silver(spark, d)),
-    "verify_layer_v1": lambda spark, d: reports.verify_layer(silver_v1(spark, d), with_pool=False),
-    "ingest_verify": lambda spark, d: reports.ingest_verify(allotments(spark, d)),
-    "baseline_compare": lambda spark, d: reports.baseline_compare(allotments(spark, d)),
-    "filter_values": lambda spark, d: reports.filter_values(gold(spark, d)),
-    "warning_summary": lambda spark, d: reports.warning_summary(silver(spark, d)),
-    "warning_flags": lambda spark, d: reports.warning_flags(allotments(spark, d)),
-    "step_counts": lambda spark, d: reports.step_counts(allotments(spark, d)),
-    "seat_counts": lambda spark, d: reports.seat_counts(silver(spark, d)),
+    "pool_gender_distribution": lambda spark, d: reports.distribution(layers.silver(spark, d), "seat_pool", "seat_gender"),
+    "rows_per_round": lambda spark, d: reports.rows_per_round(layers.silver(spark, d)),
+    "score_range": lambda spark, d: reports.score_range(layers.silver(spark, d)),
+    "verify_layer": lambda spark, d: reports.verify_layer(layers.silver(spark, d)),
+    "verify_layer_v1": lambda spark, d: reports.verify_layer(layers.silver_v1(spark, d), with_pool=False),
+    "ingest_verify": lambda spark, d: reports.ingest_verify(layers.bronze(spark, d)),
+    "baseline_compare": lambda spark, d: reports.baseline_compare(layers.bronze(spark, d)),
+    "filter_values": lambda spark, d: reports.filter_values(layers.gold(spark, d)),
+    "warning_summary": lambda spark, d: reports.warning_summary(layers.silver(spark, d)),
+    "warning_flags": lambda spark, d: reports.warning_flags(layers.bronze(spark, d)),
+    "step_counts": lambda spark, d: reports.step_counts(layers.bronze(spark, d)),
+    "seat_counts": lambda spark, d: reports.seat_counts(layers.silver(spark, d)),
 }
 
 
 def _metrics(spark, d, run="first", run_ts="2025-07-01 00:00:00"):
-    rows = allotments(spark, d)
-    return quality.metrics(rows, silver(spark, d), gold(spark, d), run, run_ts)
+    rows = layers.bronze(spark, d)
+    return quality.metrics(rows, layers.silver(spark, d), layers.gold(spark, d), run, run_ts)
 
 
 def _dq_metrics(spark, d):
@@ -112,14 +106,14 @@ def _dq_trend(spark, d):
 
 
 QUALITY = {
-    "dq_completeness": lambda spark, d: quality.completeness(silver(spark, d)).drop("notes"),
-    "dq_grading": lambda spark, d: quality.grade(quality.completeness(silver(spark, d)))
+    "dq_completeness": lambda spark, d: quality.completeness(layers.silver(spark, d)).drop("notes"),
+    "dq_grading": lambda spark, d: quality.grade(quality.completeness(layers.silver(spark, d)))
     .withColumn("icon", quality.report_icon(F.col("pct_failed")))
     .drop("notes", "warn_pct", "fail_pct"),
-    "dq_reconcile": lambda spark, d: quality.reconcile(allotments(spark, d), silver(spark, d)),
-    "dq_nonempty": lambda spark, d: quality.nonempty(gold(spark, d)).drop("notes"),
-    "dq_unique_grain": lambda spark, d: quality.unique_grain(gold(spark, d)).drop("notes"),
-    "dq_all_null": lambda spark, d: quality.not_all_null(gold(spark, d)).drop("notes"),
+    "dq_reconcile": lambda spark, d: quality.reconcile(layers.bronze(spark, d), layers.silver(spark, d)),
+    "dq_nonempty": lambda spark, d: quality.nonempty(layers.gold(spark, d)).drop("notes"),
+    "dq_unique_grain": lambda spark, d: quality.unique_grain(layers.gold(spark, d)).drop("notes"),
+    "dq_all_null": lambda spark, d: quality.not_all_null(layers.gold(spark, d)).drop("notes"),
     "dq_metrics": _dq_metrics,
     "dq_tally": lambda spark, d: quality.tally(_metrics(spark, d)),
     "dq_trend": _dq_trend,
@@ -129,7 +123,7 @@ _SHOWN = ("cap_round", "institute_code", "branch_name", "mhtcet_score", "candida
 
 
 def _mask_function(spark, d):
-    silver(spark, d).createOrReplaceTempView("cutline_silver")
+    layers.silver(spark, d).createOrReplaceTempView("cutline_silver")
     privacy.create_mask_function(spark, "cutline_mask")
     view = privacy.publish_masked_view(
         spark, "cutline_silver", "cutline_silver_masked", "cutline_mask", temporary=True
@@ -138,15 +132,15 @@ def _mask_function(spark, d):
 
 
 def _mask_sample(spark, d):
-    view = privacy.mask_columns(silver(spark, d), False).orderBy("institute_name", "mhtcet_score", "seat_gender")
+    view = privacy.mask_columns(layers.silver(spark, d), False).orderBy("institute_name", "mhtcet_score", "seat_gender")
     return privacy.masked_sample(view)
 
 
 def _leak_check(spark, d):
     """Protected columns left in each output, and the rows whose values equal a protected one."""
-    base = silver(spark, d)
+    base = layers.silver(spark, d)
     parts = []
-    for name, output, column in (("main_mart", gold(spark, d), "institute_name"), ("silver", base, "candidate_name")):
+    for name, output, column in (("main_mart", layers.gold(spark, d), "institute_name"), ("silver", base, "candidate_name")):
         leaked = privacy.leaked_values(output, column, base).agg(F.count(F.lit(1)).alias("leaked_rows"))
         total = output.agg(F.count(F.lit(1)).alias("rows"))
         counts = leaked.select("leaked_rows", F.lit(None).cast("bigint").alias("rows")).unionByName(
@@ -160,8 +154,8 @@ def _leak_check(spark, d):
 
 
 PRIVACY = {
-    "mask_reader": lambda spark, d: privacy.mask_columns(silver(spark, d), False).select(*_SHOWN),
-    "mask_admin": lambda spark, d: privacy.mask_columns(silver(spark, d), True).select(*_SHOWN),
+    "mask_reader": lambda spark, d: privacy.mask_columns(layers.silver(spark, d), False).select(*_SHOWN),
+    "mask_admin": lambda spark, d: privacy.mask_columns(layers.silver(spark, d), True).select(*_SHOWN),
     "mask_function": _mask_function,
     "mask_sample": _mask_sample,
     "leak_check": _leak_check,
@@ -169,4 +163,4 @@ PRIVACY = {
 
 
 def all_queries():
-    return {**CLEAN, **MARTS, **QUALITY, **PRIVACY}
+    return {**CLEAN, **MARTS, **QUALITY, **PRIVACY, **FILES, **INCREMENTAL, **DOCUMENTS}

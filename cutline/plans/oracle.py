@@ -411,5 +411,218 @@ def privacy_queries():
     }
 
 
+RENDERED = ALLOT + r""",
+placed AS (
+  SELECT *, cap_round || '/' || institute_code || '.txt' AS file, coalesce(branch_name, '') AS block,
+         CASE WHEN branch_name IS NULL THEN 0 WHEN is_ews THEN 1 WHEN is_tfws THEN 2 ELSE 0 END AS flag
+  FROM allot
+),
+blocks AS (
+  SELECT DISTINCT file, institute_name, block, flag FROM placed
+  UNION SELECT DISTINCT file, institute_name, '', 0 FROM placed
+),
+headed AS (
+  SELECT file, block, flag,
+    CASE WHEN block = '' THEN 'Government' WHEN flag = 1 THEN 'Un-Aided' WHEN flag = 0 THEN 'Government Autonomous' END AS st,
+    CASE WHEN block = '' THEN 'University of ' || institute_name WHEN flag = 1 THEN ''
+         WHEN flag = 0 THEN 'Example University' END AS hu,
+    CASE WHEN block = '' THEN 4 WHEN flag = 1 THEN 2 END AS ai
+  FROM blocks
+),
+context AS (
+  SELECT file, block, flag,
+         last_value(st IGNORE NULLS) OVER w AS institute_status,
+         last_value(hu IGNORE NULLS) OVER w AS home_university,
+         last_value(ai IGNORE NULLS) OVER w AS ai_seats
+  FROM headed
+  WINDOW w AS (PARTITION BY file ORDER BY block, flag ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+read_lines AS (
+  SELECT p.*, institute_status, home_university, ai_seats,
+         CASE WHEN NOT is_vacant AND candidate_category = 'TFWS' AND seat_type IS NULL THEN 'TFWS'
+              ELSE coalesce(seat_type, '') END AS seat,
+         CASE WHEN candidate_category = 'TFWS' AND seat_type IS NULL THEN '' ELSE coalesce(candidate_category, '') END AS category
+  FROM placed p JOIN context c ON p.file = c.file AND p.block = c.block AND p.flag = c.flag
+  WHERE is_vacant OR application_id LIKE 'EN%'
+),
+parsed AS (
+  SELECT file, cap_round, institute_code, institute_name,
+    CASE WHEN block = '' THEN '' ELSE institute_code || lpad(CAST(ascii(block) * 100 + length(block) AS VARCHAR), 5, '0') END AS branch_code,
+    block AS branch_name, flag = 1 AS is_ews, flag = 2 AS is_tfws, institute_status, home_university,
+    CAST(institute_code AS INTEGER) + 60 AS sanction_intake, CAST(institute_code AS INTEGER) + 50 AS cap_seats,
+    50 AS ms_seats, 3 AS minority_seats, ai_seats, sr_no,
+    CASE WHEN NOT is_vacant THEN merit_no END AS merit_no,
+    CASE WHEN NOT is_vacant THEN mhtcet_score END AS mhtcet_score,
+    application_id,
+    CASE WHEN is_vacant THEN 'VACANT' WHEN gender IS NULL THEN trim(candidate_name || ' ' || category)
+         ELSE candidate_name END AS candidate_name,
+    CASE WHEN is_vacant THEN '' ELSE coalesce(gender, '') END AS gender,
+    CASE WHEN is_vacant OR gender IS NULL THEN '' ELSE category END AS candidate_category,
+    seat AS seat_type,
+    CASE WHEN is_vacant AND seat_type IS NOT NULL THEN '^' ELSE '' END AS seat_marker,
+    is_vacant,
+    CASE WHEN is_vacant THEN '' ELSE concat_ws('|', CASE WHEN mhtcet_score IS NULL THEN 'missing_score' END,
+      CASE WHEN gender IS NULL THEN 'missing_gender' END,
+      CASE WHEN seat = '' THEN 'missing_seat_type' END) END AS _validation_warnings
+  FROM read_lines
+)"""
+
+CONTEXT_COLUMNS = (
+    "file, institute_code, institute_name, branch_code, branch_name, is_ews, is_tfws, institute_status, "
+    "home_university, sanction_intake, cap_seats, ms_seats, minority_seats, ai_seats"
+)
+
+BOILERPLATE = "|".join(f"(?:{pattern})" for pattern in (
+    r"^Government of Maharashtra", r"^State Common Entrance Test Cell", r"Provisional Allotment List",
+    r"Degree Courses", r"Integrated 5 Years", r"^(P\s+)?Meri\s+Sr\.", r"^No\.\s+No\.", r"^State Level Seats",
+    r"^All India Seats", r"Legends for SeatType", r"Legends for ChoiceCode", r"^Seat Type\s*:",
+    r"Red Color|Black Color|Green Color|Blue Color|Gray Color", r"^MI-Minority", r"^PWDR\s*:", r"^DEFR\s*:",
+    r"^Merit No\s*:", r"^Page \d+ of \d+", r"^Master of Engineering", r"for the Year 20", r"for the Admission",
+))
+
+TEXT_LINES = rf""",
+text_lines AS (
+  SELECT doc_id, source, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160)) AS line
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS raw FROM documents)
+),
+content AS (SELECT * FROM text_lines WHERE line <> '' AND NOT regexp_matches(line, '{BOILERPLATE}'))"""
+
+OUTCOMES = RENDERED + TEXT_LINES + r""",
+outcome_rows AS (
+  SELECT file, cap_round AS round, count(*) AS n, count(*) FILTER (WHERE _validation_warnings <> '') AS w
+  FROM parsed GROUP BY ALL
+  UNION ALL
+  SELECT 'text/' || CAST(doc_id AS VARCHAR), source,
+         count(*) FILTER (WHERE regexp_matches(line, 'EN\d{8}') OR contains(line, 'VACANT')),
+         count(*) FILTER (WHERE regexp_matches(line, 'EN\d{8}') AND NOT contains(line, 'VACANT'))
+  FROM content GROUP BY ALL
+),
+files AS (
+  SELECT DISTINCT cap_round || '/' || institute_code || '.txt' AS file, cap_round AS round FROM allot
+  UNION ALL SELECT 'text/' || CAST(doc_id AS VARCHAR), source FROM documents
+),
+outcomes AS (
+  SELECT f.file, f.round, CAST(coalesce(n, 0) AS INTEGER) AS rows,
+         CASE WHEN coalesce(n, 0) > 0 THEN CAST(w AS INTEGER) END AS warnings,
+         CASE WHEN coalesce(n, 0) > 0 THEN 'ok' ELSE 'failed' END AS status
+  FROM files f LEFT JOIN outcome_rows o ON f.file = o.file AND f.round = o.round
+)"""
+
+LOG = r"""
+log AS (
+  SELECT CASE WHEN n_chars >= 300 THEN 'ok' ELSE 'failed' END AS status,
+         CAST(doc_id AS VARCHAR) || '.txt' AS file, source AS round,
+         CASE WHEN n_chars >= 300 THEN CAST(n_chars // 50 AS INTEGER) ELSE 0 END AS rows,
+         CASE WHEN n_chars >= 300 THEN CAST(n_chars % 7 AS INTEGER) END AS warnings,
+         CASE WHEN n_chars >= 300 THEN CASE WHEN lang = 'en' THEN 'primary' ELSE 'fallback' END END AS method,
+         n_chars / 1000.0 AS elapsed_s,
+         CASE WHEN lang = 'en' THEN '2025-07-02' ELSE '2025-07-01' END AS ts,
+         CASE WHEN n_chars < 300 THEN 'parser returned 0 rows' END AS error
+  FROM documents
+)"""
+
+
+def file_queries():
+    cut = "WITH "
+    return {
+        "csv_roundtrip": cut + ALLOT + """
+          SELECT cap_round, institute_code, institute_name, branch_name, is_ews, is_tfws, sr_no, merit_no, mhtcet_score,
+                 application_id, candidate_name, gender, candidate_category, seat_type, is_vacant FROM allot""",
+        "provenance": cut + ALLOT + """
+          SELECT cap_round, count(*) AS rows, CAST(1 AS BIGINT) AS batches, count(*) AS stamped_rows,
+                 true AS all_files_read FROM allot GROUP BY cap_round""",
+        "overwrite_twice": cut + ALLOT + """
+          SELECT cap_round, count(*) AS rows, round(sum(mhtcet_score), 2) AS total_score, true AS has_new_column
+          FROM allot GROUP BY cap_round""",
+        "json_metadata": cut + GOLD + """
+          SELECT DISTINCT 'branch' AS field, branch_name AS value FROM gold WHERE branch_name IS NOT NULL
+          UNION ALL
+          SELECT DISTINCT 'category', clean_category FROM gold WHERE clean_category IS NOT NULL""",
+        "csv_export": cut + APP + " SELECT * FROM app",
+        "partitioned_csv": cut + ALLOT
+        + " SELECT cap_round AS folder, count(*) AS rows, count(*) AS rows_of_round FROM allot GROUP BY cap_round",
+        "json_log": cut + LOG + " SELECT * FROM log",
+        "run_ledger": cut + SILVER + """
+          SELECT layer, CAST(version AS BIGINT) AS version, 'overwrite' AS operation, rows,
+                 CASE version WHEN 0 THEN 'run-1' ELSE 'run-2' END AS run_id
+          FROM (SELECT 'bronze' AS layer, count(*) AS rows FROM allot
+                UNION ALL SELECT 'silver', count(*) FROM silver), (VALUES (0), (1)) AS v(version)""",
+        "delete_by_file": cut + ALLOT + """
+          SELECT _source_file, count(*) AS rows FROM allot WHERE _source_file NOT LIKE '%/00003.csv' GROUP BY 1""",
+        "incremental_three_runs": """
+          SELECT 'run-1' AS run, count(*) FILTER (WHERE event_type IS DISTINCT FROM 'error') AS new_rows,
+                 true AS took_all_new_files FROM events
+          UNION ALL SELECT 'run-2', CAST(0 AS BIGINT), true
+          UNION ALL SELECT 'run-3', count(*) FILTER (WHERE event_type = 'error'), true FROM events""",
+        "schema_widening": """
+          SELECT event_type, count(*) AS rows,
+                 count(user_id) FILTER (WHERE event_type = 'error') AS rows_with_user,
+                 CAST(0 AS BIGINT) AS malformed, 1 AS schema_version
+          FROM events GROUP BY event_type""",
+        "run_rows": cut + ALLOT
+        + " SELECT 'batch-2' AS _batch_id, cap_round, count(*) AS rows FROM allot GROUP BY cap_round",
+    }
+
+
+def document_queries():
+    cut = "WITH "
+    return {
+        "line_explode": cut + TEXT_LINES.lstrip(",") + """
+          SELECT 'text/' || CAST(doc_id AS VARCHAR) AS file, count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS chars
+          FROM content GROUP BY doc_id""",
+        "document_listing": """
+          SELECT source AS cap_round, count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS chars, true AS all_files_read
+          FROM (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY source""",
+        "headers_ffill": cut + RENDERED
+        + f" SELECT {CONTEXT_COLUMNS}, count(*) AS candidates FROM parsed GROUP BY ALL",
+        "parse_documents": cut + RENDERED + " SELECT * FROM parsed",
+        "row_flags": cut + RENDERED
+        + " SELECT _validation_warnings, is_vacant, count(*) AS rows FROM parsed GROUP BY ALL",
+        "coerce_types": cut + ALLOT + """
+          SELECT application_id, sr_no, CASE WHEN candidate_category IS NULL THEN merit_no END AS merit_no,
+                 CASE WHEN NOT is_ews THEN mhtcet_score END AS mhtcet_score, is_vacant FROM allot""",
+        "file_outcomes": cut + OUTCOMES + """
+          SELECT status, file, round, rows, warnings, CASE WHEN status = 'ok' THEN 'text' END AS method,
+                 CASE WHEN status = 'failed' THEN 'parser returned 0 rows' END AS error FROM outcomes""",
+        "resume_pending": """
+          SELECT CAST(doc_id AS VARCHAR) || '.txt' AS file, source AS cap_round FROM documents
+          WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+        "retry_queue": cut + LOG + """
+          SELECT file, round, ts FROM log
+          WHERE status = 'failed' AND ts = (SELECT max(ts) FROM log)
+            AND file IN (SELECT CAST(doc_id AS VARCHAR) || '.txt' FROM labels)""",
+        "retry_outcome": cut + OUTCOMES + """
+          SELECT count(*) FILTER (WHERE status = 'ok') AS recovered,
+                 count(*) FILTER (WHERE status <> 'ok') AS still_failing
+          FROM outcomes WHERE status = 'failed' OR round = 'CAP-II'""",
+        "conversion_report": cut + LOG + """
+          SELECT round, status, count(file) AS files, CAST(sum(rows) AS BIGINT) AS total_rows,
+                 round(avg(rows), 2) AS avg_rows, round(avg(elapsed_s), 2) AS avg_time_s FROM log GROUP BY round, status""",
+        "method_frequency": cut + LOG + """
+          SELECT method, count(*) AS "count" FROM log WHERE status = 'ok' AND method IS NOT NULL GROUP BY method""",
+        "top_warned": cut + LOG + """
+          SELECT file, round, rows, warnings FROM log WHERE status = 'ok' AND warnings > 0
+          ORDER BY warnings DESC, file LIMIT 20""",
+        "failed_files": cut + LOG + " SELECT file, round, error FROM log WHERE status = 'failed'",
+        "conversion_totals": cut + LOG + """
+          SELECT count(*) AS files, count(*) FILTER (WHERE status = 'ok') AS succeeded,
+                 count(*) FILTER (WHERE status = 'failed') AS failed, CAST(sum(rows) AS BIGINT) AS total_rows,
+                 round(avg(elapsed_s), 2) AS avg_time_s, round(sum(elapsed_s) / 60, 1) AS total_time_min FROM log""",
+        "coverage": """
+          SELECT source AS cap_round, count(l.doc_id) AS outputs, count(*) AS inputs,
+                 round(count(l.doc_id) / count(*) * 100, 1) AS pct
+          FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id GROUP BY source""",
+        "parse_profile": cut + RENDERED + """
+          SELECT file, count(*) AS rows, count(*) FILTER (WHERE is_vacant) AS vacant,
+                 count(*) FILTER (WHERE NOT is_vacant AND seat_type = '') AS no_seat,
+                 coalesce(string_agg(DISTINCT seat_marker, ',' ORDER BY seat_marker) FILTER (WHERE seat_marker <> ''), '') AS markers,
+                 count(*) > 0 AND count(*) FILTER (WHERE NOT is_vacant AND seat_type = '') < 10 AS looks_ok
+          FROM parsed GROUP BY file""",
+    }
+
+
 def all_sql():
-    return {**clean_queries(), **mart_queries(), **quality_queries(), **privacy_queries()}
+    return {
+        **clean_queries(), **mart_queries(), **quality_queries(), **privacy_queries(),
+        **file_queries(), **document_queries(),
+    }
