@@ -81,28 +81,34 @@ CATEGORY_PATTERNS_V1 = (
 CATEGORY_LEFTOVER_V1 = r"[$#@\(\)/0-9]"
 
 # --- document lines ---------------------------------------------------------------------------
-BOILERPLATE = (
-    r"^Government of Maharashtra",
-    r"^State Common Entrance Test Cell",
-    r"Provisional Allotment List",
-    r"Degree Courses",
-    r"Integrated 5 Years",
-    r"^(P\s+)?Meri\s+Sr\.",
-    r"^No\.\s+No\.",
-    r"^State Level Seats",
-    r"^All India Seats",
-    r"Legends for SeatType",
-    r"Legends for ChoiceCode",
-    r"^Seat Type\s*:",
-    r"Red Color|Black Color|Green Color|Blue Color|Gray Color",
-    r"^MI-Minority",
-    r"^PWDR\s*:",
-    r"^DEFR\s*:",
-    r"^Merit No\s*:",
-    r"^Page \d+ of \d+",
-    r"^Master of Engineering",
-    r"for the Year 20",
-    r"for the Admission",
+BOILERPLATE_STARTS = (
+    r"Government of Maharashtra",
+    r"State Common Entrance Test Cell",
+    r"(P\s+)?Meri\s+Sr\.",
+    r"No\.\s+No\.",
+    r"State Level Seats",
+    r"All India Seats",
+    r"Seat Type\s*:",
+    r"MI-Minority",
+    r"PWDR\s*:",
+    r"DEFR\s*:",
+    r"Merit No\s*:",
+    r"Page \d+ of \d+",
+    r"Master of Engineering",
+)
+BOILERPLATE_PHRASES = (
+    "Provisional Allotment List",
+    "Degree Courses",
+    "Integrated 5 Years",
+    "Legends for SeatType",
+    "Legends for ChoiceCode",
+    "Red Color",
+    "Black Color",
+    "Green Color",
+    "Blue Color",
+    "Gray Color",
+    "for the Year 20",
+    "for the Admission",
 )
 APPLICATION_ID = r"EN\d{8}"
 WHOLE_APPLICATION_ID = r"^EN\d{8}$"

@@ -264,8 +264,7 @@ def _document_listing(spark, d):
 
 def _headers_ffill(spark, d):
     """Candidate lines per context in force."""
-    lines = documents.carry_forward(documents.classify(layers.lines(spark, d)))
-    candidates = cleaning.coerce_types(documents.with_context(lines))
+    candidates = documents.with_context(documents.carry_forward(layers.lines(spark, d)))
     return candidates.groupBy(
         "file", "institute_code", "institute_name", "branch_code", "branch_name", "is_ews", "is_tfws",
         "institute_status", "home_university", *[name for name, _ in fixed.SEAT_COUNTERS],
