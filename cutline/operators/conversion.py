@@ -32,9 +32,9 @@ def pending(files, outputs, key="file"):
 
 
 def retry_queue(log, files, run="run_ts"):
-    """Failures of the latest run whose file still exists. The latest run is a one-row frame."""
-    latest = log.agg(F.max(run).alias(run))
-    failed = log.filter(F.col("status") == "failed").join(F.broadcast(latest), run, "left_semi")
+    """Failures of the latest run whose file still exists. The latest run is a scalar subquery."""
+    latest = log.agg(F.max(run)).scalar()
+    failed = log.filter((F.col("status") == "failed") & (F.col(run) == latest))
     return failed.join(files.select("file", F.col("cap_round").alias("round")), ["file", "round"], "left_semi")
 
 

@@ -37,7 +37,9 @@ def test_flagship_entry(spark):
 
 
 def test_lookup_filters_reach_the_files(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = QUERIES["predict_colleges"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     pushed = re.search(r"PushedFilters: \[(.*?)\]", plan).group(1)
     assert "clean_category" in pushed and "branch_name" in pushed and "cap4_cutoff" in pushed
 
