@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from cutline.functions import text
 from cutline.operators import cleaning, lookup, marts, privacy, quality, reports
 from cutline.plans import layers
-from cutline.plans.catalog_files import DOCUMENTS, FILES, INCREMENTAL
-
-STUDENT = {"category": "OBC", "branch": "ECONOMY", "gender": "M", "score": 85.5}
+from cutline.plans.catalog_files import DOCUMENTS, FILES, INCREMENTAL, STUDENT
+from cutline.session import scratch_dir
+from cutline.sources import tables
 
 
 def cleaned(spark, sf_dir):
@@ -96,10 +96,11 @@ def _dq_metrics(spark, d):
 
 def _dq_trend(spark, d):
     """Two runs appended to a metrics table, read back latest first."""
-    runs = _metrics(spark, d, "first", "2025-07-01 00:00:00").unionByName(
-        _metrics(spark, d, "second", "2025-07-02 00:00:00")
-    )
-    return quality.trend(runs).select(
+    path = scratch_dir(spark, "metrics")
+    for run, stamp in (("first", "2025-07-01 00:00:00"), ("second", "2025-07-02 00:00:00")):
+        tables.write_path(_metrics(spark, d, run, stamp).coalesce(1), path, mode="append")
+    runs = quality.trend(tables.read_path(spark, path))
+    return runs.select(
         F.when(F.to_date("run_ts") == F.lit("2025-07-02").cast("date"), "second").otherwise("first").alias("run"),
         "layer", "rule_name", "rows_checked", "rows_failed", "pct_failed", "status",
     )

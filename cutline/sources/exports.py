@@ -32,10 +32,14 @@ def export_csv(df, path, **options):
     df.write.mode("overwrite").option("header", True).options(**options).csv(path)
 
 
-def export_csv_tree(df, path, folder="cap_round"):
-    """A CSV tree with one folder per value; the column itself stays in the files.
+def export_csv_tree(df, path, folder="cap_round", document=None):
+    """A CSV tree with one folder per round and, if a document column is named, one below it per document.
 
-    Rows are not moved: each task writes into the folders it has rows for.
+    The folder column stays in the files, the document column does not. Rows are not moved: each task
+    writes into the folders it has rows for. Only folders that get rows are replaced.
     """
     foldered = df.withColumn("folder", F.col(folder))
-    foldered.write.mode("overwrite").option("header", True).partitionBy("folder").csv(path)
+    below = [document] if document else []
+    foldered.write.mode("overwrite").option("header", True).option("partitionOverwriteMode", "dynamic").partitionBy(
+        "folder", *below
+    ).csv(path)
