@@ -114,6 +114,7 @@ APPLICATION_ID = r"EN\d{8}"
 WHOLE_APPLICATION_ID = r"^EN\d{8}$"
 INSTITUTE_LINE = r"^(\d{5})\s+(.+)$"
 BRANCH_LINE = r"^(\d{10}(?:\[EWS\])?T?)\s*-\s*(.+)$"
+BRANCH_CODE_LENGTH = 10
 STATUS_LINE = r"^Status:\s*(.+?)(?:\s+Home University\s*:\s*(.+))?$"
 SEAT_COUNTERS = (
     ("sanction_intake", r"Sanction Intake:\s*(\d+)"),
