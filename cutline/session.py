@@ -1,7 +1,9 @@
 """Session settings and the shared scratch folder."""
 
+import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +25,25 @@ def build_session(app_name="cutline", master=None, **conf):
     return builder.getOrCreate()
 
 
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+@contextmanager
+def shuffles_sized_for(spark, total_bytes):
+    """At least one shuffle partition per 128 MB while the block runs.
+
+    Run-time re-planning merges small partitions but cannot split one that a window needs whole, so
+    the number has to grow with the input.
+    """
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    needed = max(int(before), math.ceil((total_bytes or 0) / SHUFFLE_PARTITION_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", needed)
+    try:
+        yield needed
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def scratch_dir(spark, label):
     """A new folder for intermediate tables, under the shared folder named by spark.checkpoint.dir.
 

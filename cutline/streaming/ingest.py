@@ -16,6 +16,7 @@ from cutline.sources.tables import FILL_PROPERTY, path_exists
 
 MALFORMED = "_malformed"
 SNAPSHOT_SCHEMA = "version int, schema string"
+FILES_PER_TRIGGER = 10_000  # bounds what a failed micro-batch repeats on a first run over a large tree
 
 
 def read_snapshot(spark, location):
@@ -46,7 +47,7 @@ def resolve_schema(spark, location, declared):
     return schema
 
 
-def new_file_stream(spark, source, batch_id, schema=RAW_TEXT_SCHEMA, max_files_per_trigger=None):
+def new_file_stream(spark, source, batch_id, schema=RAW_TEXT_SCHEMA, max_files_per_trigger=FILES_PER_TRIGGER):
     """Stream over the CSV files below a folder, with provenance.
 
     Rows that are wider or narrower than the schema are kept, with their text in `_malformed`.
@@ -57,14 +58,16 @@ def new_file_stream(spark, source, batch_id, schema=RAW_TEXT_SCHEMA, max_files_p
         .option("header", True).option("encoding", "UTF-8")
         .option("columnNameOfCorruptRecord", MALFORMED)
         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+        .option("maxFilesPerTrigger", max_files_per_trigger)
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return coerce_types(with_provenance(reader.csv(source), batch_id))
 
 
 def append_available(stream, target, checkpoint, as_table=False):
-    """Write everything that is available now to a folder (or catalog table) and stop."""
+    """Write everything that is available now to a folder (or catalog table) and stop.
+
+    A folder is partitioned by batch id, so the rows of one run are read without touching the others.
+    """
     spark = stream.sparkSession
     if not as_table and path_exists(spark, f"{target}/_SUCCESS"):
         raise ValueError(f"{target} is filled by batch writes; stream to another place")
@@ -72,7 +75,7 @@ def append_available(stream, target, checkpoint, as_table=False):
         stream.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint).trigger(availableNow=True)
     )
-    query = writer.toTable(target) if as_table else writer.start(target)
+    query = writer.toTable(target) if as_table else writer.partitionBy("_batch_id").start(target)
     query.awaitTermination()
     if as_table:
         spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{FILL_PROPERTY}' = 'stream')")
@@ -80,7 +83,7 @@ def append_available(stream, target, checkpoint, as_table=False):
 
 
 def ingest_new_files(spark, source, target, checkpoint, batch_id, schema=RAW_TEXT_SCHEMA, schema_location=None,
-                     max_files_per_trigger=None, as_table=False):
+                     max_files_per_trigger=FILES_PER_TRIGGER, as_table=False):
     """One incremental run from a CSV folder into a Bronze folder."""
     if schema_location:
         schema = resolve_schema(spark, schema_location, schema)

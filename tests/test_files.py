@@ -85,6 +85,10 @@ def test_three_incremental_runs_and_a_malformed_row(spark, folder):
     assert rows.filter(f"{ingest.MALFORMED} is not null").count() == 1
     assert cleaning.delete_by_file(rows, "%_copy%").count() == 3
     assert dict(rows.dtypes)["sr_no"] == "int"
+    one_run = cleaning.rows_of_batch(rows, "r3")
+    assert one_run.count() == 2
+    plan = one_run._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_batch_id" in plan
 
 
 def test_schema_snapshots(spark, folder):
