@@ -52,3 +52,28 @@ def text_slices(column, most_bytes=1 << 20):
         last = min(last, len(column))
         yield first, last, data[at[first]:at[last]], at[first:last + 1] - at[first]
         first = last
+
+
+class Recent:
+    """A bounded memory of results for strings, in two generations: what was used of late stays.
+
+    `learn(keys)` computes what is missing (compute: list of keys -> list of values) and returns a dict
+    that holds a value for each of the keys.
+    """
+
+    def __init__(self, compute, most=800_000):
+        self.compute, self.most, self.now, self.before = compute, most, {}, {}
+
+    def learn(self, keys):
+        now = self.now
+        new = [k for k in set(keys) if k not in now]
+        if new:
+            if len(now) + len(new) > self.most // 2 and now:
+                self.before, self.now = now, {}
+                now, new = self.now, list(set(keys))
+            before = self.before
+            missing = [k for k in new if k not in before]
+            now.update((k, before[k]) for k in new if k in before)
+            if missing:
+                now.update(zip(missing, self.compute(missing)))
+        return now
