@@ -1,11 +1,12 @@
 """Registered queries of this folder and their SQL."""
 
-from cutline.llm import byte_bpe, exact_dedup, jaccard_join, line_dedup, packing, token_counts
+from cutline.llm import byte_bpe, exact_dedup, jaccard_join, lattice_dedup, line_dedup, packing, token_counts
 
 
 def all_queries():
     return {
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op3_lattice_dedup": lattice_dedup.op3_lattice_dedup,
         "op5_token_counts": token_counts.op5_token_counts,
         "op6_line_dedup": line_dedup.op6_line_dedup,
         "op8_jaccard_join": jaccard_join.op8_jaccard_join,
