@@ -66,11 +66,12 @@ class Recent:
 
     def learn(self, keys):
         now = self.now
-        new = [k for k in set(keys) if k not in now]
+        keys = keys if isinstance(keys, set) else set(keys)
+        new = [k for k in keys if k not in now]
         if new:
             if len(now) + len(new) > self.most // 2 and now:
                 self.before, self.now = now, {}
-                now, new = self.now, list(set(keys))
+                now, new = self.now, list(keys)
             before = self.before
             missing = [k for k in new if k not in before]
             now.update((k, before[k]) for k in new if k in before)

@@ -42,7 +42,6 @@ class WordEncoder:
 
     def __init__(self, spec, end_id):
         import json
-        import re
 
         import numpy as np
         import regex
@@ -56,18 +55,17 @@ class WordEncoder:
         suffix = parts["model"].get("end_of_word_suffix")
         own = kinds == ["NFC", "Replace", "Lowercase"] and split.get("behavior") == "Removed" and split.get("invert")
         self.find = regex.compile(split["pattern"]["Regex"]).findall if own and suffix else None
-        whole = [re.escape(t["content"]) for t in parts["added_tokens"]] + ["[\x1c-\x1f]"]
-        self.whole = re.compile("|".join(whole)).search
+        self.odd = [t["content"] for t in parts["added_tokens"]] + ["\x1c", "\x1d", "\x1e", "\x1f"]
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         if suffix:
             self.last[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.words = Recent(self._words)
+        self.words = Recent(self._words, most=1_200_000)
 
     def _whole(self, text):
         import numpy as np
 
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
     def _words(self, words):
         """The ids of words, as bytes."""
@@ -82,16 +80,24 @@ class WordEncoder:
         raw, at = ids.tobytes(), (edges * self.dtype.itemsize).tolist()
         return [raw[a:b] for a, b in zip(at, at[1:])]
 
-    def encode(self, text):
-        """Little-endian ids of the text with the end id."""
+    def _cut(self, text):
+        """The words of a text, or None if it has to go through the tokenizer whole."""
         import unicodedata
 
-        if self.find is None or self.whole(text):
-            return self._whole(text).tobytes() + self.end
+        if self.find is None or any(o in text for o in self.odd):
+            return None
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        words = text.lower().split()
-        return b"".join(map(self.words.learn(words).__getitem__, words)) + self.end
+        return text.lower().split()
+
+    def encode(self, texts):
+        """Little-endian ids of each text with the end id."""
+        cut = [self._cut(t) for t in texts]
+        known = self.words.learn(set().union(*(words for words in cut if words)))
+        return [
+            (self._whole(text).tobytes() if words is None else b"".join(map(known.__getitem__, words))) + self.end
+            for text, words in zip(texts, cut)
+        ]
 
 
 _encoders = {}
@@ -112,9 +118,9 @@ def encode(docs, spec, end_id):
     def run(batches):
         encoder = encoder_of(spec.value, end_id)
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part = batch.slice(at, 1000)
-                ids = [encoder.encode(t or "") for t in part.column(1).to_pylist()]
+            for at in range(0, len(batch), 200):
+                part = batch.slice(at, 200)
+                ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
