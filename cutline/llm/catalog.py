@@ -1,14 +1,20 @@
 """Registered queries of this folder and their SQL."""
 
-from cutline.llm import byte_bpe, exact_dedup, jaccard_join, lattice_dedup, line_dedup, packing, token_counts
+from cutline.llm import (
+    byte_bpe, exact_dedup, jaccard_join, language_id, lattice_dedup, line_dedup, packing, quality, secret_scan,
+    token_counts,
+)
 
 
 def all_queries():
     return {
+        "op1_language_id": language_id.op1_language_id,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_lattice_dedup": lattice_dedup.op3_lattice_dedup,
+        "op4_secret_scan": secret_scan.op4_secret_scan,
         "op5_token_counts": token_counts.op5_token_counts,
         "op6_line_dedup": line_dedup.op6_line_dedup,
+        "op7_quality_classifier": quality.op7_quality_classifier,
         "op8_jaccard_join": jaccard_join.op8_jaccard_join,
         "op9_byte_bpe": byte_bpe.op9_byte_bpe,
         "op10_packing": packing.op10_packing,
@@ -16,4 +22,5 @@ def all_queries():
 
 
 def all_sql():
+    """Only exact dedup and line dedup can be said in SQL; the others are tested against plain versions."""
     return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op6_line_dedup": line_dedup.OP6_SQL}
