@@ -1,0 +1,147 @@
+"""Language ID, quality classifier, secret scan: held-out accuracy, plain versions, awkward rows."""
+
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from cutline.llm import catalog, convnet, language_id, quality, secret_scan
+from tests.llm import plain
+
+
+def test_convnet_gradients():
+    net = convnet.ConvNet(3, widths=(2, 3), filters=4, size=3)
+    rng = np.random.default_rng(0)
+    x, y = np.pad(rng.integers(1, 9, (5, 12)), ((0, 0), (0, 2))), rng.integers(0, 3, 5)
+    for name in ("embed", "filters", "bias", "out", "prior"):
+        setattr(net, name, getattr(net, name).astype(np.float64))
+    net.training = True
+    grads = net._gradients(x, y)
+    loss = lambda: -np.log(net._forward(x)[3][np.arange(5), y]).mean()
+    for name, grad in zip(("embed", "filters", "bias", "out", "prior"), grads):
+        value, at = getattr(net, name), np.unravel_index(np.abs(grad).argmax(), grad.shape)
+        value[at] += 1e-5
+        up = loss()
+        value[at] -= 2e-5
+        assert abs((up - loss()) / 2e-5 - grad[at]) < 1e-4
+        value[at] += 1e-5
+
+
+def test_language_query_held_out(spark):
+    sf = plain.SF.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = catalog.all_queries()["op1_language_id"](spark, sf).join(docs.select("doc_id", "lang"), "doc_id")
+    held = got.filter("held_out").select((F.col("lang") == F.col("lang_pred")).cast("int").alias("ok"), "score").collect()
+    assert len(held) > 250 and sum(r["ok"] for r in held) >= 0.97 * len(held)
+    assert all(0 <= r["score"] <= 1 for r in held) and got.count() == 1000
+
+
+def test_language_odd_rows(spark):
+    rows = plain.ROWS + [(None, "some words", "en"), (50, "12345 !!", "en")]
+    got = {r["doc_id"]: r for r in language_id.identify_languages(plain.frame(spark, rows), per_label=20).collect()}
+    assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (3, 4, 5, 6, 50))
+    assert got[7]["lang_pred"] in {"en", "de", "fr", "es"}
+    bare = plain.frame(spark, [(i, t, None) for i, t, _ in plain.ROWS])
+    assert {r["lang_pred"] for r in language_id.identify_languages(bare).collect()} == {"und"}
+    assert language_id.identify_languages(plain.frame(spark, [])).count() == 0
+
+
+def test_held_out_documents_are_not_learnt_from(spark):
+    docs = plain.frame(spark, [(i, f"text number {i} abc", "en") for i in range(60)])
+    pieces = {r["piece"] for r in language_id.training_pieces(docs, 1000, 10).collect()}
+    held = {r["text"] for r in docs.filter(language_id.fold() == 1).collect()}
+    assert held and not pieces & held
+
+
+def test_estimates_recover_accuracies():
+    rng = np.random.default_rng(2)
+    truth = rng.random(20_000) < 0.8
+    shape = [(0.5, 0.02), (0.3, 0.01), (0.6, 0.05), (0.4, 0.02)]
+    patterns = np.stack([np.where(rng.random(len(truth)) < np.where(truth, low, high), quality.BAD, quality.NONE)
+                         for high, low in shape] + [np.where(rng.random(len(truth)) < np.where(truth, 0.9, 0.2), quality.GOOD, quality.NONE)], 1)
+    unique, counts = np.unique(patterns, axis=0, return_counts=True)
+    post, odds, share = quality.estimate(unique, counts)
+    at = {tuple(p): q for p, q in zip(unique, post)}
+    guess = np.array([at[tuple(p)] > 0.5 for p in patterns])
+    assert (guess == truth).mean() > 0.93 and 0.7 < share < 0.9
+    assert all(odds[i][quality.BAD, 0] > 5 * odds[i][quality.BAD, 1] for i in range(4))
+
+
+def test_quality_query_keeps_clean_documents(spark):
+    sf = plain.SF.replace("sf0.001", "sf0.01")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    got = catalog.all_queries()["op7_quality_classifier"](spark, sf).join(labels, "doc_id").collect()
+    clean = [r["accepted"] for r in got if r["quality"] == 1]
+    junk = [r["accepted"] for r in got if r["quality"] == 0]
+    assert sum(clean) >= 0.99 * len(clean) and sum(junk) <= 0.1 * len(junk)
+
+
+def test_quality_odd_rows(spark):
+    got = {r["doc_id"]: r for r in quality.classify(plain.frame(spark)).collect()}
+    assert all(got[i]["quality_score"] == 0 and not got[i]["accepted"] for i in (3, 4, 5, 6))
+    assert got[10]["key"] == "k" and got[10]["n"] == 3 and len(got) == 19
+    assert quality.classify(plain.frame(spark, [])).count() == 0
+    assert not quality.classify(plain.frame(spark, [(1, None, "x"), (2, " ", "x")])).filter("accepted").count()
+
+
+def test_quality_measures_do_not_depend_on_neighbours():
+    texts = ["aa aa aa aa aa aa aa bb cc dd ee", "Plain words stand here, one by one.\nAnd here.", "", "### ||| !!!"]
+    data, at = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    whole = quality.features(data, at)[0]
+    for n, text in enumerate(texts):
+        own = quality.features(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))[0][0]
+        assert np.allclose(own, whole[n], equal_nan=True)
+
+
+def base(text):
+    """Base findings by their definition, character by character classes spelled out."""
+    import re
+
+    text, found = text or "", []
+    for m in re.finditer(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m[1]) >= 6:
+            found.append((m.start(), 0, m.end()))
+    for kind, pattern, least in ((1, "AKIA[A-Z0-9]+", 20), (2, "[0-9a-f]+", 24)):
+        found += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text) if len(m[0]) >= least]
+    return sorted(found)
+
+
+def check_secrets(rows, got):
+    for i, text in rows:
+        want = secret_scan.spans_text(base(text))
+        assert got[i]["base_sha256"] == plain.sha(want)
+        assert [x for x in got[i]["spans"].split(",") if not x.startswith("net")] == want.split(",")
+        assert (got[i]["n_assign"], got[i]["n_access"], got[i]["n_hex"]) == tuple(sum(k == n for _, k, _ in base(text)) for n in range(3))
+
+
+def test_secret_query(spark):
+    rows = [(r["doc_id"], r["text"]) for r in plain.table()]
+    check_secrets(rows, {r["doc_id"]: r for r in catalog.all_queries()["op4_secret_scan"](spark, plain.SF).collect()})
+
+
+def test_secret_odd_rows(spark):
+    odd = [(60, "TOKEN:  'abcdefg' paſſword=abcdefgh apiKey = abc secret=\"x\" toKen=1234567", "x"),
+           (61, "AKIA1 AKIA" + "Z" * 16 + " " + "a" * 30 + "g" + "0" * 23, "x")]
+    rows = plain.ROWS + odd
+    got = {r["doc_id"]: r for r in secret_scan.find_secrets(plain.frame(spark, rows)).collect()}
+    check_secrets([r[:2] for r in rows], got)
+    assert got[3]["spans"] == "" and got[17]["n_assign"] == got[17]["n_access"] == got[17]["n_hex"] == 1
+    assert secret_scan.find_secrets(plain.frame(spark, [])).count() == 0
+
+
+def test_network_adds_what_looks_like_findings(spark):
+    rng = random.Random(8)
+    code = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    words = lambda n: " ".join(rng.choice(["stone", "river", "counterrevolutionaries", "12-34-56-78-90-12-34", "www.example.org/a1/b2"]) for _ in range(n))
+    rows = [(i, f'{words(9)} token = "{code(40)}" {words(9)}', "x") for i in range(150)]
+    rows += [(500, f'{words(5)} TOKN = "{code(40).upper()}" {words(5)}', "x"), (501, f'plain {words(12)}', "x")]
+    rows += [(i, f'{words(8)} tokan = "{code(22)}zz{code(16)}" {words(4)}', "x") for i in range(510, 530)]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.find_secrets(plain.frame(spark, rows)).collect()}
+    assert sum("net:" in got[i] for i in range(510, 530)) >= 15
+    assert "net" not in got[501]
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(plain.frame(spark, rows)).collect()}
+    assert clean[501] == rows[151][1] and "[secret]" in clean[0] and "token" not in clean[0]
+
+
+def test_overlapping_spans_leave_one_mark():
+    assert secret_scan.blanked("ab0123456789cd", "assign:2:8,hex:4:12,net:12:13", "#") == "ab##d"
