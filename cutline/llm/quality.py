@@ -131,7 +131,7 @@ def stepped(measures):
     return np.where(np.isnan(measures), -1, np.maximum(place, BUCKETS))
 
 
-def train(pieces, labels, weights, share, epochs=12, rate=20.0, seed=5):
+def train(pieces, labels, weights, share, epochs=30, rate=20.0, seed=5):
     """Weights of the scorer and its bias; logistic loss, soft labels, both classes with the same total weight."""
     import numpy as np
 
@@ -194,7 +194,7 @@ def _patterns(docs, per_pattern):
         F.count(F.lit(1)).alias("documents"), F.min_by("piece", "h").alias("piece"))
 
 
-def fit(docs, per_pattern=64, keep=0.995, most=0.15):
+def fit(docs, per_pattern=64, keep=0.995, most=0.35):
     """A dict with the scorer's weights, its threshold, and the labellers' estimated accuracies; None without words."""
     import numpy as np
 

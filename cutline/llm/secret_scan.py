@@ -8,7 +8,8 @@ Candidates are all other maximal runs of the characters that values are made of:
 or more. The network sees a candidate's first characters and its surroundings. It is trained on the
 corpus' own labelled findings: values of base findings against candidates outside of them, at most
 `per_class` of each, chosen by hash with a partial minimum per task. A third of the sample is held back to
-calibrate the threshold: as high as possible while at least `recall` of the held-back findings are kept, and
+calibrate the threshold. Candidates outside of base findings may be secrets too, so those that the first
+fit takes for findings are left out of the second one. The threshold is as high as possible while at least `recall` of the held-back findings are kept, and
 never below `least`. Candidates above it become `net` spans.
 
 Rows: null or empty text has no spans. Texts of any length are scanned whole. Repeated rows get the same answer.
@@ -131,10 +132,16 @@ def fit(found, per_class=1500, recall=0.98, least=0.9):
     held = np.array([int(hashlib.md5(w).hexdigest(), 16) % 3 == 0 for w, _ in rows])
     if not held[y == 1].any() or held[y == 1].all():
         held = np.arange(len(y)) % 3 == 0
-    scarce = [np.flatnonzero(~held & (y == c)) for c in (0, 1)]
-    size = max(map(len, scarce))
-    take = np.concatenate([np.resize(s, size) for s in scarce])
-    net = ConvNet(2, widths=(2, 4, 6), seed=23).fit(x[take], y[take], epochs=4)
+    use = ~held
+    for _ in range(2):
+        parts = [np.flatnonzero(use & (y == c)) for c in (0, 1)]
+        size = max(map(len, parts))
+        take = np.concatenate([np.resize(part, size) for part in parts])
+        net = ConvNet(2, widths=(2, 4, 6), seed=23).fit(x[take], y[take], epochs=4)
+        doubtful = (y == 0) & (net.predict(x)[:, 1] >= 0.5)
+        if not (~held & ~doubtful & (y == 0)).any():
+            break
+        use = ~held & ~doubtful
     scores = np.sort(net.predict(x[held & (y == 1)])[:, 1])
     threshold = float(scores[int(np.floor((1 - recall) * len(scores)))]) if len(scores) else 1.0
     return net, max(least, threshold)
