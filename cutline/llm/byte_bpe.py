@@ -19,7 +19,7 @@ import struct
 
 import pyarrow as pa
 
-from cutline.llm.common import Recent, documents
+from cutline.llm.common import Recent, documents, ship
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -142,6 +142,7 @@ def codec_of(model, pattern):
 
 
 def _run(docs, ranks_path, pattern, schema, row):
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(serialise_model(read_ranks(ranks_path)))
 
     def run(batches):

@@ -1,7 +1,12 @@
 """What the operators of this folder share: scratch tables, ASCII case folding, batches of text bytes."""
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import functions as F
 
+import cutline
 from cutline.session import scratch_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -28,6 +33,26 @@ def new_folder(spark, label):
     return scratch_dir(spark, label)
 
 
+_shipped = set()
+
+
+def ship(spark):
+    """Makes this package importable in Python workers, once per application, as --py-files would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(cutline.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="cutline-code-"), "cutline.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for base, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(base, name)
+                    out.write(file, os.path.join("cutline", os.path.relpath(file, root)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def text_slices(column, most_bytes=1 << 20):
     """Yields (first, last, bytes, offsets) over an Arrow string column; null counts as empty.
 

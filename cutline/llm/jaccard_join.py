@@ -7,12 +7,13 @@ the whole corpus in one region. The pivots therefore come in two kinds:
 1. First pivots are single shingles in one global order, common ones last. A document lies nearest to its
    first pivot; the window of documents that may be within eps of it reaches as far as its first
    n - ceil(threshold * n) + l pivots, and it is replicated to their regions. Two documents within eps meet
-   in at least l regions (l the smaller of both documents' values); that is a property of any global order, so the
-   order may be approximate: shingles that lead more than `common` documents are set in a bitmap of fixed
-   size, which is broadcast.
+   in at least l regions (l the smaller of both documents' values), and at places in their orders that leave room
+   for the overlap they need. That holds for any global order, so the order may be approximate: every task
+   counts the shingles of its documents, those that repeat there are summed up, and those in more than
+   `common` documents are set in a bitmap of fixed size, which is broadcast.
 2. Within a region a document is the pivot. Distances to it are computed exactly; documents within eps of it
-   form its cell and are linked. The rest recurses with a new pivot, as long as cells still merge. What
-   then remains apart is compared pair by pair, if the triangle inequality over the last common pivot and
+   form its cell and are linked. The rest recurses with a new pivot, as long as a tenth of the comparisons
+   link. What then remains apart is compared pair by pair, if the triangle inequality over the last common pivot and
    the sizes allow a link. Documents that are already connected need no comparison, so a group of
    thousands of near copies costs one comparison per member and pivot, not one per pair.
 
@@ -29,11 +30,13 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from cutline.llm.common import documents, new_folder, stored
+from cutline.llm.common import documents, new_folder, ship, stored
 from cutline.llm.components import components
 
 BITS = 1 << 24
-PROFILE = "doc_id long, th long, n long, s1 long, s2 long, keys binary"
+PROFILE = "doc_id long, th long, n long, s1 long, s2 long, key long, docs long"
+LEADING = "doc_id long, th long, n long, keys binary"
+COUNTED = 2_000_000  # shingles that a task counts together
 
 
 def _ceil_share(n, share):
@@ -43,7 +46,7 @@ def _ceil_share(n, share):
 
 def _shared(n):
     """How many regions two linked documents share at least, by size."""
-    return 1 + n // 50
+    return 1 + n // 16
 
 
 def _leading(n, share):
@@ -68,51 +71,83 @@ def _bits(bitmap):
     return np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little").astype(bool)
 
 
-def profiles(docs, words, share, common=None):
-    """Per row: set size, digest of the set, and the leading shingles in the global order, as bytes."""
+def profiles(docs, words):
+    """Per row: set size and digest of the set (docs is null). Between them rows (key, docs): shingles that repeat."""
     def run(batches):
         import numpy as np
 
         from cutline.llm.shingles import mix, shingle_sets
 
-        bits = None if common is None else _bits(common)
+        def repeated(parts):
+            keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+            keys, counts = keys[counts > 1], counts[counts > 1]
+            return pa.RecordBatch.from_arrays(
+                [*(pa.nulls(len(keys), pa.int64()) for _ in range(5)), pa.array(keys.view(np.int64)), pa.array(counts)], names)
+
+        names, parts, held = [f.split()[0] for f in PROFILE.split(", ")], [], 0
         for batch in batches:
-            n, s1, s2, keys = [], [], [], []
+            n, s1, s2 = [], [], []
             for _, found in shingle_sets(batch.column(1), words):
-                size = len(found)
-                take = _leading(size, share)
-                n.append(size)
+                n.append(len(found))
                 s1.append(int(found.sum(dtype=np.uint64).view(np.int64)))
                 s2.append(int(mix(found ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
-                if bits is not None and take < size:
-                    late = bits[found & np.uint64(BITS - 1)]
-                    if late[:take].any():
-                        found = np.concatenate((found[~late], found[late]))
-                keys.append(found[:take].tobytes())
+                parts.append(found)
+                held += len(found)
+                if held >= COUNTED:
+                    yield repeated(parts)
+                    parts, held = [], 0
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.array(keys, pa.binary())], ["doc_id", "th", "n", "s1", "s2", "keys"])
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(s1, pa.int64()),
+                 pa.array(s2, pa.int64()), *(pa.nulls(len(batch), pa.int64()) for _ in range(2))], names)
+        if held:
+            yield repeated(parts)
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, PROFILE)
 
 
+def leading_shingles(docs, words, share, common):
+    """Per row: set size and the leading shingles in the global order, as bytes."""
+    def run(batches):
+        import numpy as np
+
+        from cutline.llm.shingles import shingle_sets
+
+        bits = _bits(common)
+        for batch in batches:
+            n, keys = [], []
+            for _, found in shingle_sets(batch.column(1), words):
+                take = _leading(len(found), share)
+                late = bits[found & np.uint64(BITS - 1)]
+                if late[:take].any():
+                    found = np.concatenate((found[~late], found[late]))
+                n.append(len(found))
+                keys.append(found[:take].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(keys, pa.binary())],
+                [f.split()[0] for f in LEADING.split(", ")])
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, LEADING)
+
+
 def _exploded(rows):
-    """(key, doc, n) per leading shingle of (doc_id, n, keys)."""
+    """(key, doc, n, at) per leading shingle, `at` being its place in the document's order."""
     def run(batches):
         import numpy as np
 
         for batch in batches:
-            for at in range(0, len(batch), 2000):
-                part = batch.slice(at, 2000)
+            for first in range(0, len(batch), 2000):
+                part = batch.slice(first, 2000)
                 raw = [k.as_py() for k in part.column(2)]
                 sizes = np.array([len(k) // 8 for k in raw])
+                at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.frombuffer(b"".join(raw), np.int64)),
                     pa.array(np.repeat(part.column(0).to_numpy(), sizes)),
                     pa.array(np.repeat(part.column(1).to_numpy(), sizes).astype(np.int32)),
-                ], ["key", "doc", "n"])
+                    pa.array(at.astype(np.int32)),
+                ], ["key", "doc", "n", "at"])
 
-    return rows.select("doc_id", "n", "keys").mapInArrow(run, "key long, doc long, n int")
+    return rows.select("doc_id", "n", "keys").mapInArrow(run, "key long, doc long, n int, at int")
 
 
 def _only_marked(docs, marks):
@@ -164,9 +199,23 @@ def _sizes_allow(x, y, share):
     return F.least(x, y) * share[1] >= F.greatest(x, y) * share[0]
 
 
-def _enough(count, x, y):
-    """Two linked documents share this many regions at least (see `_shared`)."""
-    return count >= 1 + F.floor(F.least(x, y) / 50)
+def _places_allow(x, at_x, y, at_y, share):
+    """Before a shared shingle at most the lesser place can be shared, behind it at most the lesser rest."""
+    most = F.least(at_x, at_y) + F.least(x - at_x, y - at_y)
+    return most * (share[0] + share[1]) >= (x + y) * share[0]
+
+
+def _enough(count, x, y, share):
+    """Whether the shared leading shingles leave room for the overlap that a link needs.
+
+    All shared shingles up to the end of the prefix that ends first are counted; behind it at most the rest of
+    that document can be shared.
+    """
+    def rest(n):
+        return F.greatest(F.lit(0), F.ceil(n * share[0] / share[1] - 1e-9) - 1 - F.floor(n / 16))
+
+    need = F.ceil((x + y) * share[0] / (share[0] + share[1]) - 1e-9)
+    return count >= F.greatest(need - F.greatest(rest(x), rest(y)), F.lit(1))
 
 
 def _union(frames):
@@ -181,26 +230,28 @@ def _stars(members, share):
     """Pairs of a region's pivot (b) and a member (a) that are not connected yet and may be within eps."""
     return (
         members.filter((F.col("part") != F.col("pp")) & _sizes_allow(F.col("n"), F.col("pn"), share))
+        .filter(_places_allow(F.col("n"), F.col("at"), F.col("pn"), F.col("pat"), share))
         .groupBy(F.col("pivot").alias("b"), F.col("doc").alias("a"))
         .agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("na"), F.first("pn").alias("nb"))
-        .filter(_enough(F.col("c"), F.col("na"), F.col("nb")))
+        .filter(_enough(F.col("c"), F.col("na"), F.col("nb"), share))
         .select("a", "b")
     )
 
 
 def _recurse(members, parts):
-    """Regions that still hold several components, each with a pivot from outside the last pivot's cell."""
-    known = parts.select(F.col("node").alias("doc"), "component")
-    members = members.select("key", "doc", "n", "pivot").join(known, "doc", "left").select(
-        "key", "doc", "n", "pivot", F.coalesce("component", "doc").alias("part"))
-    one = F.struct("part", "doc", "n")
-    lead = members.groupBy("key").agg(
-        F.min(one).alias("low"), F.max(one).alias("high"),
-        F.max(F.when(F.col("doc") == F.col("pivot"), F.col("part"))).alias("was"),
-    ).filter("low.part < high.part")
-    lead = lead.select("key", F.when(F.col("high.part") == F.col("was"), F.col("low")).otherwise(F.col("high")).alias("next"))
-    return members.drop("pivot").join(lead, "key").select(
-        "key", "doc", "n", "part", F.col("next.doc").alias("pivot"), F.col("next.n").alias("pn"), F.col("next.part").alias("pp"))
+    """Regions that still hold several components, each with a pivot from outside the last pivot's component.
+
+    The pivot is the member that has the region's shingle first in its order: it has the fewest rare ones
+    before it, so of a group of near copies it is the one that most others are near to.
+    """
+    doc = parts.select(F.col("node").alias("doc"), "component")
+    last = parts.select(F.col("node").alias("pivot"), F.col("component").alias("was"))
+    members = members.select("key", "doc", "n", "at", "pivot").join(doc, "doc", "left").join(last, "pivot", "left").select(
+        "key", "doc", "n", "at", F.coalesce("component", "doc").alias("part"), F.coalesce("was", "pivot").alias("was"))
+    lead = members.filter("part != was").groupBy("key").agg(F.min(F.struct("at", "doc", "n", "part")).alias("next"))
+    return members.drop("was").join(lead, "key").select(
+        "key", "doc", "n", "at", "part", F.col("next.doc").alias("pivot"), F.col("next.n").alias("pn"),
+        F.col("next.at").alias("pat"), F.col("next.part").alias("pp"))
 
 
 def _apart(members, measured, share):
@@ -210,16 +261,17 @@ def _apart(members, measured, share):
         for known in measured
     ])
     sides = members.join(distance, ["doc", "pivot"], "left")
-    x = sides.select("key", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"), F.col("d").alias("da"))
-    y = sides.select("key", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"), F.col("d").alias("db"))
+    x = sides.select("key", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("part").alias("pa"), F.col("d").alias("da"))
+    y = sides.select("key", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("part").alias("pb"), F.col("d").alias("db"))
     eps = 1 - share[0] / share[1]
     window = F.coalesce(F.abs(F.col("da") - F.col("db")) <= eps + 1e-9, F.lit(True))
     return (
         x.join(y, "key")
         .filter((F.col("a") > F.col("b")) & (F.col("pa") != F.col("pb")) & window)
         .filter(_sizes_allow(F.col("na"), F.col("nb"), share))
+        .filter(_places_allow(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib"), share))
         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-        .filter(_enough(F.col("c"), F.col("na"), F.col("nb")))
+        .filter(_enough(F.col("c"), F.col("na"), F.col("nb"), share))
         .select("a", "b")
     )
 
@@ -233,10 +285,12 @@ def _new(pairs, measured):
 def jaccard_classes(docs, words=5, share=(80, 100), common=32):
     """(doc_id, n_shingles, component_id) per row, `share` being the threshold as a fraction."""
     spark = docs.sparkSession
+    ship(spark)
     root = new_folder(spark, "jaccard")
-    first = stored(profiles(docs, words, share), f"{root}/profiles")
-    counts = _exploded(first.filter(F.col("doc_id").isNotNull())).groupBy("key").agg(F.count(F.lit(1)).alias("docs"))
+    both = stored(profiles(docs, words), f"{root}/profiles")
+    counts = both.filter("docs is not null").groupBy("key").agg(F.sum("docs").alias("docs"))
     late = _bitmap(counts.filter(F.col("docs") > common), F.col("key"))
+    first = both.filter("docs is null")
     ids = first.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min(F.struct("th", "n", "s1", "s2")).alias("x")).select("doc_id", "x.*")
     classes = stored(
@@ -244,13 +298,13 @@ def jaccard_classes(docs, words=5, share=(80, 100), common=32):
         .select("n", "s1", "s2", F.col("rep.doc_id").alias("rep"), F.col("rep.th").alias("th")),
         f"{root}/classes")
     reps = classes.select(F.col("rep").alias("doc_id"), "th")
-    leading = profiles(docs, words, share, late).join(reps, ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
+    leading = leading_shingles(docs, words, share, late).join(reps, ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
     rows = stored(_exploded(leading), f"{root}/leading")
-    regions = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc", "n")).alias("p")).filter("c > 1")
+    regions = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("at", "doc", "n")).alias("p")).filter("c > 1")
     members = stored(
         rows.join(regions, "key").select(
-            "key", "doc", "n", F.col("doc").alias("part"),
-            F.col("p.doc").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.doc").alias("pp")),
+            "key", "doc", "n", "at", F.col("doc").alias("part"),
+            F.col("p.doc").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.at").alias("pat"), F.col("p.doc").alias("pp")),
         f"{root}/members0")
     marked = _only_marked(docs, _bitmap(members, F.xxhash64("doc")))
     texts = marked.join(reps, ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"]).drop("th")
@@ -263,10 +317,12 @@ def jaccard_classes(docs, words=5, share=(80, 100), common=32):
         found = stored(_measured(_new(_stars(members, share), measured), texts, words), f"{root}/stars{turn}")
         measured.append(found)
         links.append(_linked(found, share))
-        if links[-1].isEmpty():
+        compared, near = found.count(), links[-1].count()
+        if near:
+            parts = components(_union(links))
+            members = stored(_recurse(members, parts), f"{root}/members{turn + 1}")
+        if near * 10 <= compared:
             break
-        parts = components(_union(links))
-        members = stored(_recurse(members, parts), f"{root}/members{turn + 1}")
     rest = stored(_measured(_new(_apart(members, measured, share), measured), texts, words), f"{root}/pairs")
     links.append(_linked(rest, share))
     if parts is None or not links[-1].isEmpty():

@@ -16,7 +16,7 @@ import pickle
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from cutline.llm.common import documents, text_slices
+from cutline.llm.common import documents, ship, text_slices
 
 PIECE, WINDOW = 600, 256
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -64,6 +64,7 @@ def fit(pieces, seed=7):
 def predict_languages(docs, model):
     """One row per document: doc_id, held_out, lang_pred, score."""
     spark = docs.sparkSession
+    ship(spark)
     shared = spark.sparkContext.broadcast(pickle.dumps(model))
 
     def run(batches):

@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from cutline.llm.common import new_folder, stored
+from cutline.llm.common import new_folder, ship, stored
 from cutline.llm.components import components
 
 CLASS = ["k1", "k2"]
@@ -150,6 +150,7 @@ def _cosines(pairs, classes):
 def vector_links(vectors, least=0.95, tables=8, blocks=3, scale=0.8, seed=17):
     """One row per vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
+    ship(spark)
     root = new_folder(spark, "lattice")
     usable = (
         F.col("vec_id").isNotNull()

@@ -22,7 +22,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from cutline.llm.common import Recent, documents, new_folder
+from cutline.llm.common import Recent, documents, new_folder, ship
 
 WINDOW = 4096
 K1, B = 1.2, 0.75
@@ -261,6 +261,7 @@ class Packer:
 def pack(docs, tokenizer_path, end_id=2, window=WINDOW, shard_tokens=4_000_000, block_tokens=1_000_000):
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
+    ship(spark)
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = spark.sparkContext.broadcast(file.read())
     encoder = encoder_of(spec.value, end_id)

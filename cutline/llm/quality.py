@@ -21,7 +21,7 @@ import pickle
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from cutline.llm.common import documents, text_slices
+from cutline.llm.common import documents, ship, text_slices
 
 LABELLERS = ("symbols", "capitals", "trigrams", "doubled", "letters", "lone_signs", "lines", "variety")
 PIECE, BUCKETS, SIZES, STEPS, SHRINK = 1500, 1 << 18, (1, 3, 4), 12, 60
@@ -172,6 +172,8 @@ def score_slice(w, bias, data, offsets):
 
 def _patterns(docs, per_pattern):
     """(pattern, documents, pieces) over all documents: at most 3 ** 8 patterns of at most per_pattern pieces."""
+    ship(docs.sparkSession)
+
     def run(batches):
         import numpy as np
 
@@ -218,6 +220,7 @@ def fit(docs, per_pattern=64, keep=0.995, most=0.35):
 
 def judge(docs, model):
     """The rows of `docs` with quality_score and accepted added (replacing columns of these names)."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     own = [c for c in docs.columns if c not in ("quality_score", "accepted")]
     schema = docs.select(*own, F.lit(0.0).alias("quality_score"), F.lit(True).alias("accepted")).schema

@@ -26,7 +26,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from cutline.llm.common import documents, new_folder, stored
+from cutline.llm.common import documents, new_folder, ship, stored
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(
@@ -92,6 +92,8 @@ def spans_text(spans):
 
 def scan(docs):
     """(doc_id, hash of the text, base spans, and all candidates: places, windows, whether a base span holds them)."""
+    ship(docs.sparkSession)
+
     def run(batches):
         for batch in batches:
             for at in range(0, len(batch), 1000):

@@ -16,7 +16,7 @@ Repeated rows repeat their sections. An empty table gives an empty result. Other
 import pyarrow as pa
 
 from cutline.llm.byte_bpe import read_ranks
-from cutline.llm.common import documents
+from cutline.llm.common import documents, ship
 
 SCHEMA = "doc_id long, section long, char_start long, char_end long, n_tokens long, token_share double"
 
@@ -66,6 +66,7 @@ _counters = {}
 
 def token_counts(docs, ranks_path, pattern, sections_of=line_sections):
     """One row per document and section: its span in code points and both token counts."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(batches):
