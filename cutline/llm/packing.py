@@ -34,12 +34,17 @@ SCHEMA = (
 class WordEncoder:
     """Ids of a text by a tokenizer whose pre-tokens hold no white space, each word encoded once.
 
-    The tokenizer's own steps before the merges (canonical composition, lower case) are applied here; new
-    words then go through the tokenizer itself, many in one call, and are told apart by the ids that end a
-    pre-token. Texts that hold a special token's string, or control characters that Python counts as
-    white space and the pattern does not, go through it whole; so do all texts if its steps are others.
+    The tokenizer's own steps before the merges (canonical composition, lower case, its pattern, a character per
+    byte) are applied here, to new words only, and its merges run over many new pre-tokens in one call, told
+    apart by the ids that end a pre-token. Texts that hold a special token's string, or control characters
+    that Python counts as white space and the pattern does not, go through the tokenizer whole; so do all
+    texts if its steps are others.
     """
 
+    # The steps that are applied here.
+    STEPS = ["NFC", "Replace", "Lowercase"]
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
     def __init__(self, spec, end_id):
         import json
 
@@ -47,39 +52,52 @@ class WordEncoder:
         import regex
         from tokenizers import Tokenizer
 
+        from cutline.llm.byte_bpe import byte_characters
+
         self.tokenizer = Tokenizer.from_str(spec)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         parts = json.loads(spec)
         kinds = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", ())]
         split = next(iter((parts["pre_tokenizer"] or {}).get("pretokenizers", ())), {})
         suffix = parts["model"].get("end_of_word_suffix")
-        own = kinds == ["NFC", "Replace", "Lowercase"] and split.get("behavior") == "Removed" and split.get("invert")
-        self.find = regex.compile(split["pattern"]["Regex"]).findall if own and suffix else None
+        own = kinds == self.STEPS and split.get("invert") and split["pattern"].get("Regex") == self.PATTERN
+        self.find = regex.compile(self.PATTERN).findall if own and suffix else None
         self.odd = [t["content"] for t in parts["added_tokens"]] + ["\x1c", "\x1d", "\x1e", "\x1f"]
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        if suffix:
+        if self.find:
             self.last[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
+            bare = {**parts, "normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
+            self.merges, self.chars = Tokenizer.from_str(json.dumps(bare)), byte_characters()
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.words = Recent(self._words, most=1_200_000)
+        self.tokens, self.words = Recent(self._tokens, most=500_000), Recent(self._words, most=1_000_000)
 
     def _whole(self, text):
         import numpy as np
 
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
-    def _words(self, words):
-        """The ids of words, as bytes."""
+    def _tokens(self, tokens):
+        """The ids of pre-tokens, as bytes."""
         import numpy as np
 
-        sizes = [len(self.find(w)) for w in words]
-        ids = self._whole(" ".join(words))
+        mapped = [t if t.isascii() else t.encode().decode("latin-1").translate(self.chars) for t in tokens]
+        if any(not t.isprintable() for t in mapped):  # control characters stand for themselves only in text
+            mapped = [t.encode().decode("latin-1").translate(self.chars) for t in tokens]
+        ids = np.array(self.merges.encode_batch_fast([" ".join(mapped)], add_special_tokens=False)[0].ids, self.dtype)
         ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != sum(sizes):
-            return [self._whole(w).tobytes() for w in words]
-        edges = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))]
-        raw, at = ids.tobytes(), (edges * self.dtype.itemsize).tolist()
+        if len(ends) != len(tokens):
+            return [self._whole(t).tobytes() for t in tokens]
+        raw, at = ids.tobytes(), [0, *(ends * self.dtype.itemsize).tolist()]
         return [raw[a:b] for a, b in zip(at, at[1:])]
 
+    def _words(self, words):
+        """The ids of words, as bytes."""
+        found = [
+            [w] if w.isalpha() else [w[:-1], w[-1]] if w[-1] in ".,!" and w[:-1].isalpha() else self.find(w) for w in words
+        ]
+        known = self.tokens.learn({t for tokens in found for t in tokens})
+        return [known[tokens[0]] if len(tokens) == 1 else b"".join([known[t] for t in tokens]) for tokens in found]
+
     def _cut(self, text):
         """The words of a text, or None if it has to go through the tokenizer whole."""
         import unicodedata
