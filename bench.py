@@ -13,11 +13,12 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cutline.operators import cleaning, conversion, documents, lookup, marts, privacy, quality, reports  # noqa: E402
-from cutline.plans import layers, pipeline  # noqa: E402
+from cutline.plans import conversion_job, layers, pipeline  # noqa: E402
 from cutline.plans.allotments import allotments  # noqa: E402
 from cutline.plans.catalog_files import STUDENT, as_raw, conversion_log  # noqa: E402
 from cutline.session import build_session  # noqa: E402
 from cutline.sources import exports, tables  # noqa: E402
+from cutline.streaming import ingest  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -27,6 +28,12 @@ def drain(df):
     df.write.format("noop").mode("overwrite").save()
 
 
+def text_tree(lines, root):
+    """The rendered lines as text files, one folder per round."""
+    ordered = lines.repartition(16, "cap_round", "file").sortWithinPartitions("cap_round", "file", "seg", "pos")
+    ordered.select("cap_round", "line").write.partitionBy("cap_round").text(root)
+
+
 def measure(spark, sf_dir):
     """Seconds per stage."""
     base = tempfile.mkdtemp(prefix="cutline-bench-")
@@ -60,7 +67,13 @@ def measure(spark, sf_dir):
     timed("masked_copy", lambda: tables.write_path(privacy.mask_columns(silver, False), at["silver_masked"]))
     timed("incremental_first", lambda: pipeline.load_bronze(spark, source, grown, "r1", incremental=True))
     timed("incremental_rerun", lambda: pipeline.load_bronze(spark, source, grown, "r2", incremental=True))
-    timed("parse_documents", lambda: drain(documents.parse_documents(lines)))
+    timed("parse_documents", lambda: drain(documents.parse_documents(lines, stage=f"{base}/classified")))
+    text_tree(lines, f"{base}/documents")
+    job = (spark, f"{base}/documents", f"{base}/converted", f"{base}/log")
+    timed("convert_from_text", lambda: conversion_job.convert(*job))
+    timed("convert_nothing_new", lambda: conversion_job.convert(*job))
+    timed("convert_retry", lambda: conversion_job.retry_failed(*job))
+    timed("delete_streamed_files", lambda: ingest.delete_files(spark, pipeline.locations(grown)["bronze"], "%CAP-I/%"))
     timed("conversion_report", lambda: drain(conversion.log_summary(conversion_log(spark, sf_dir))))
     timed("completeness", lambda: quality.grade(quality.completeness(silver)).collect())
     timed("flagship_from_raw", lambda: lookup.predict(

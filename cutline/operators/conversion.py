@@ -7,12 +7,20 @@ def _rows():
     return F.count(F.lit(1))
 
 
-def file_outcomes(files, parsed, method="text"):
-    """One log row per input file: ok with its rows and warnings, or failed when it gave no row."""
+def file_outcomes(files, parsed, method="text", elapsed=None):
+    """One log row per input file: ok with its rows and warnings, or failed when it gave no row.
+
+    A set-based run has no time of its own for a document: `elapsed`, the seconds of the run, is divided over
+    its documents by their bytes. It is NULL if the run's time or the sizes are not known.
+    """
+    seconds = F.lit(None).cast("double")
+    if elapsed is not None and "bytes" in files.columns:
+        total = files.agg(F.greatest(F.sum("bytes"), F.lit(1))).scalar()
+        seconds = F.col("bytes") / total * F.lit(float(elapsed))
     counts = parsed.groupBy("file").agg(
         _rows().alias("rows"), F.count_if(F.col("_validation_warnings") != "").alias("warnings")
     )
-    done = files.select("file", F.col("cap_round").alias("round")).join(counts, "file", "left")
+    done = files.select("file", F.col("cap_round").alias("round"), seconds.alias("seconds")).join(counts, "file", "left")
     ok = F.coalesce(F.col("rows"), F.lit(0)) > 0
     return done.select(
         F.when(ok, "ok").otherwise("failed").alias("status"),
@@ -20,7 +28,7 @@ def file_outcomes(files, parsed, method="text"):
         F.coalesce("rows", F.lit(0)).cast("int").alias("rows"),
         F.when(ok, F.col("warnings")).cast("int").alias("warnings"),
         F.when(ok, method).alias("method"),
-        F.lit(None).cast("double").alias("elapsed_s"),
+        F.col("seconds").alias("elapsed_s"),
         F.current_timestamp().cast("string").alias("ts"),
         F.when(~ok, "parser returned 0 rows").alias("error"),
     )

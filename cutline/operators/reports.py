@@ -13,12 +13,13 @@ def distribution(df, *columns):
 
 
 def distributions(df, columns):
-    """Several single-column distributions from one scan: each row feeds one counter per column."""
+    """Several single-column distributions from one scan: the few combinations of values feed the counters."""
     pairs = [F.struct(F.lit(c).alias("attribute"), F.col(c).cast("string").alias("value")) for c in columns]
+    combined = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
     return (
-        df.select(F.inline(F.array(*pairs)))
+        combined.select("_rows", F.inline(F.array(*pairs)))
         .groupBy("attribute", "value")
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("_rows").alias("count"))
     )
 
 
@@ -83,6 +84,12 @@ def warning_summary(df, top=10):
     return counted.orderBy(F.col("count").desc(), "_validation_warnings").limit(top)
 
 
+def warned_total(df):
+    """Flagged rows out of all rows."""
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.coalesce(F.col("_validation_warnings"), F.lit("")) != "").alias("flagged_rows"))
+
+
 def warning_flags(df):
     """Rows per single flag, with the pipe-separated text split."""
     flags = df.select(F.explode(F.split("_validation_warnings", r"\|")).alias("flag"))
@@ -101,6 +108,19 @@ def step_counts(bronze):
     )
 
 
+def cast_drops(bronze):
+    """Valid rows, those with a score text, and those lost because the text is no number. The score is text here."""
+    score = F.col("mhtcet_score")
+    given = is_valid_allotment() & F.coalesce(score != "", F.lit(False))
+    readable = given & score.try_cast("double").isNotNull()
+    return bronze.agg(
+        F.count_if(is_valid_allotment()).alias("valid_rows"),
+        F.count_if(given).alias("with_score"),
+        F.count_if(readable).alias("readable_rows"),
+        (F.count_if(given) - F.count_if(readable)).alias("dropped_after_cast"),
+    )
+
+
 def seat_counts(silver):
     """Rows with and without a seat type after the embedded codes were separated."""
     return silver.agg(

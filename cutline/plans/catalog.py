@@ -79,6 +79,11 @@ MARTS = {
     "baseline_compare": lambda spark, d: reports.baseline_compare(layers.bronze(spark, d)),
     "filter_values": lambda spark, d: reports.filter_values(layers.gold(spark, d)),
     "warning_summary": lambda spark, d: reports.warning_summary(layers.silver(spark, d)),
+    "warned_total": lambda spark, d: reports.warned_total(layers.bronze(spark, d)),
+    "cast_drops": lambda spark, d: reports.cast_drops(layers.bronze(spark, d).withColumn(
+        "mhtcet_score", F.when(F.col("is_ews"), "n/a").otherwise(F.col("mhtcet_score").cast("string")))),
+    "load_stamp": lambda spark, d: cleaning.build_silver(layers.bronze(spark, d)).groupBy("cap_round").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("_load_ts").alias("stamped_rows")),
     "warning_flags": lambda spark, d: reports.warning_flags(layers.bronze(spark, d)),
     "step_counts": lambda spark, d: reports.step_counts(layers.bronze(spark, d)),
     "seat_counts": lambda spark, d: reports.seat_counts(layers.silver(spark, d)),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cutline import fixed_values as fixed
 from cutline.operators import cleaning, conversion, documents, lookup
-from cutline.plans import layers
+from cutline.plans import conversion_job, layers
 from cutline.plans.allotments import table
 from cutline.session import scratch_dir
 from cutline.sources import csv_tree, exports, ledger, logs, tables
@@ -77,10 +77,7 @@ def _overwrite_twice(spark, d):
 def _json_metadata(spark, d):
     path = scratch_dir(spark, "metadata")
     exports.export_filter_metadata(layers.gold(spark, d), path)
-    found = spark.read.schema("branches array<string>, categories array<string>").json(path)
-    return found.select(F.lit("branch").alias("field"), F.explode("branches").alias("value")).unionByName(
-        found.select(F.lit("category").alias("field"), F.explode("categories").alias("value"))
-    )
+    return exports.read_filter_metadata(spark, path)
 
 
 def _csv_export(spark, d):
@@ -222,6 +219,51 @@ def _schema_widening(spark, d):
     ).withColumn("schema_version", F.lit(version))
 
 
+def _incremental_reordered_columns(spark, d):
+    """The late files have their columns in reverse order; values land under their names."""
+    base = scratch_dir(spark, "reordered")
+    first, late = _arrivals(spark, d)
+    for batch, rows in (("run-1", first), ("run-2", late.select(*reversed(late.columns)))):
+        _deliver(rows, f"{base}/source/{batch}")
+        ingest.ingest_new_files(
+            spark, f"{base}/source", f"{base}/bronze", f"{base}/checkpoint", batch, EVENT_SCHEMA, schema_location=f"{base}/schema")
+    rows = ingest.read_ingested(spark, f"{base}/bronze", f"{base}/schema")
+    return rows.groupBy("event_type").agg(
+        _n().alias("rows"), F.sum("event_id").alias("ids"), F.sum("user_id").alias("users"),
+        F.count("value").alias("values"), F.count(ingest.MALFORMED).alias("malformed"))
+
+
+def _schema_discovered(spark, d):
+    """The late files bring a column that nobody declared; it is kept as text under a new snapshot."""
+    base = scratch_dir(spark, "discovered")
+    first, late = _arrivals(spark, d)
+    narrow = ("event_id", "event_type", "value")
+    for batch, rows in (("run-1", first.select(*narrow)), ("run-2", late.select("user_id", *narrow))):
+        _deliver(rows, f"{base}/source/{batch}")
+        ingest.ingest_new_files(
+            spark, f"{base}/source", f"{base}/bronze", f"{base}/checkpoint", batch,
+            "event_id bigint, event_type string, value double", schema_location=f"{base}/schema")
+    _, version = ingest.read_snapshot(spark, f"{base}/schema")
+    rows = ingest.read_ingested(spark, f"{base}/bronze", f"{base}/schema")
+    return rows.groupBy("event_type").agg(
+        _n().alias("rows"), F.sum(F.col("user_id").cast("bigint")).alias("users"), F.count(ingest.MALFORMED).alias("malformed"),
+    ).withColumn("schema_version", F.lit(version))
+
+
+def _delete_streamed_file(spark, d):
+    """Two deliveries, the files of the second one deleted; a third run brings nothing back."""
+    base = scratch_dir(spark, "forgotten")
+    for batch, rows in zip(("run-1", "run-2", "run-3"), (*_arrivals(spark, d), None)):
+        if rows is not None:
+            _deliver(rows, f"{base}/source/{batch}")
+        else:
+            ingest.delete_files(spark, f"{base}/bronze", "%/run-2/%")
+        ingest.ingest_new_files(
+            spark, f"{base}/source", f"{base}/bronze", f"{base}/checkpoint", batch, EVENT_SCHEMA, schema_location=f"{base}/schema")
+    rows = ingest.read_ingested(spark, f"{base}/bronze", f"{base}/schema")
+    return rows.groupBy("event_type", "_batch_id").agg(_n().alias("rows"))
+
+
 def _run_rows(spark, d):
     """Rows and files of one batch only."""
     root = _csv_tree(spark, d, "batches")
@@ -232,6 +274,9 @@ def _run_rows(spark, d):
 INCREMENTAL = {
     "incremental_three_runs": _incremental_three_runs,
     "schema_widening": _schema_widening,
+    "incremental_reordered_columns": _incremental_reordered_columns,
+    "schema_discovered": _schema_discovered,
+    "delete_streamed_file": _delete_streamed_file,
     "run_rows": _run_rows,
 }
 
@@ -264,7 +309,7 @@ def _document_listing(spark, d):
 
 def _headers_ffill(spark, d):
     """Candidate lines per context in force."""
-    candidates = documents.with_context(documents.carry_forward(layers.lines(spark, d)))
+    candidates = documents.with_context(documents.carry_forward(layers.lines(spark, d), stage=scratch_dir(spark, "classified")))
     return candidates.groupBy(
         "file", "institute_code", "institute_name", "branch_code", "branch_name", "is_ews", "is_tfws",
         "institute_status", "home_university", *[name for name, _ in fixed.SEAT_COUNTERS],
@@ -272,7 +317,28 @@ def _headers_ffill(spark, d):
 
 
 def _parsed(spark, d):
-    return documents.parse_documents(layers.lines(spark, d))
+    return documents.parse_documents(layers.lines(spark, d), stage=scratch_dir(spark, "classified"))
+
+
+def _convert_tree(spark, d):
+    """All lists written as documents, one per round, in two year folders with equal names below; converted and read back."""
+    base = scratch_dir(spark, "convert")
+    lines = layers.lines(spark, d).withColumn("folder", F.col("cap_round")).repartition("folder")
+    ordered = lines.sortWithinPartitions("folder", "file", "seg", "pos")
+    years = ordered.withColumn("year", F.explode(F.array(F.lit("2024"), F.lit("2025"))))
+    years.sortWithinPartitions("year", "folder", "file", "seg", "pos").select("year", "folder", "line").write.partitionBy(
+        "year", "folder").text(f"{base}/documents")
+    log = conversion_job.convert(spark, f"{base}/documents", f"{base}/csv", f"{base}/log")
+    rows = csv_tree.read_csv_tree(spark, f"{base}/csv", "batch-1")
+    name = F.regexp_replace("cap_round", "^folder=", "").alias("cap_round")
+    found = rows.groupBy(name).agg(_n().alias("rows"), F.count("mhtcet_score").alias("scored"))
+    logged = log.groupBy(F.regexp_replace("round", "^folder=", "").alias("cap_round")).agg(
+        F.count_if(F.col("status") == "ok").alias("documents"), F.count("elapsed_s").alias("timed"),
+        F.sum("rows").alias("logged_rows"))
+    listed = list_documents(spark, f"{base}/documents")
+    share = conversion.coverage(listed, conversion_job.converted_documents(spark, f"{base}/csv")).select(
+        F.regexp_replace("cap_round", "^folder=", "").alias("cap_round"), "pct")
+    return found.join(logged, "cap_round").join(share, "cap_round")
 
 
 def _coerce_types(spark, d):
@@ -325,7 +391,7 @@ def _retry_queue(spark, d):
 
 
 def _retry_outcome(spark, d):
-    """First attempt: every document of the second round failed. The retry parses the queue again."""
+    """First attempt: every document of the second round failed. What a second attempt makes of the queue."""
     lost = F.col("round") == "CAP-II"
     outcomes = _all_outcomes(spark, d)
     first = outcomes.withColumns({
@@ -344,6 +410,7 @@ DOCUMENTS = {
     "document_listing": _document_listing,
     "headers_ffill": _headers_ffill,
     "parse_documents": _parsed,
+    "convert_tree": _convert_tree,
     "row_flags": lambda spark, d: _parsed(spark, d).groupBy("_validation_warnings", "is_vacant").agg(
         _n().alias("rows")
     ),

@@ -249,7 +249,10 @@ ALL_NULL_ROW = """SELECT 'gold' AS layer, 'not_all_cutoffs_null' AS rule_name, c
    count(*) FILTER (WHERE cap1_cutoff IS NULL AND cap2_cutoff IS NULL AND cap3_cutoff IS NULL
                     AND cap4_cutoff IS NULL) AS rows_failed,
    CAST(0 AS DOUBLE) AS warn_pct, CAST(1 AS DOUBLE) AS fail_pct FROM gold"""
-RULE_ROWS = " UNION ALL ".join((COMPLETENESS_ROWS, RECONCILE_ROW, NONEMPTY_ROW, GRAIN_ROW, ALL_NULL_ROW))
+WELL_FORMED_ROW = """SELECT 'bronze' AS layer, 'well_formed_rows' AS rule_name, count(*) AS rows_checked,
+   CAST(0 AS BIGINT) AS rows_failed, CAST(0 AS DOUBLE) AS warn_pct, CAST(1 AS DOUBLE) AS fail_pct FROM allot"""
+RULE_ROWS = " UNION ALL ".join(
+    (COMPLETENESS_ROWS, RECONCILE_ROW, NONEMPTY_ROW, GRAIN_ROW, ALL_NULL_ROW, WELL_FORMED_ROW))
 GRADED = """graded AS (
   SELECT *, CASE WHEN rows_checked > 0 THEN round(100.0 * rows_failed / rows_checked, 2) ELSE 0.0 END AS pct_failed
   FROM rules
@@ -357,6 +360,15 @@ def mart_queries():
         "warning_summary": cut + SILVER + """
           SELECT _validation_warnings, count(*) AS "count" FROM silver WHERE _validation_warnings <> ''
           GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
+        "warned_total": cut + ALLOT + """
+          SELECT count(*) AS rows, count(*) FILTER (WHERE coalesce(_validation_warnings, '') <> '') AS flagged_rows FROM allot""",
+        "cast_drops": cut + ALLOT + r"""
+          , scored AS (SELECT is_ews, mhtcet_score FROM allot WHERE NOT is_vacant AND regexp_matches(application_id, '^EN\d{8}$'))
+          SELECT count(*) AS valid_rows, count(*) FILTER (WHERE is_ews OR mhtcet_score IS NOT NULL) AS with_score,
+                 count(*) FILTER (WHERE NOT is_ews AND mhtcet_score IS NOT NULL) AS readable_rows,
+                 count(*) FILTER (WHERE is_ews) AS dropped_after_cast FROM scored""",
+        "load_stamp": cut + SILVER + """
+          SELECT cap_round, count(*) AS rows, count(*) AS stamped_rows FROM silver GROUP BY cap_round""",
         "warning_flags": cut + ALLOT + """
           SELECT flag, count(*) AS "count"
           FROM (SELECT unnest(string_split(_validation_warnings, '|')) AS flag FROM allot)
@@ -559,6 +571,15 @@ def file_queries():
                  count(user_id) FILTER (WHERE event_type = 'error') AS rows_with_user,
                  CAST(0 AS BIGINT) AS malformed, 1 AS schema_version
           FROM events GROUP BY event_type""",
+        "incremental_reordered_columns": """
+          SELECT event_type, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS ids, CAST(sum(user_id) AS BIGINT) AS users,
+                 count(value) AS "values", CAST(0 AS BIGINT) AS malformed FROM events GROUP BY event_type""",
+        "schema_discovered": """
+          SELECT event_type, count(*) AS rows, CAST(sum(user_id) FILTER (WHERE event_type = 'error') AS BIGINT) AS users,
+                 CAST(0 AS BIGINT) AS malformed, 1 AS schema_version FROM events GROUP BY event_type""",
+        "delete_streamed_file": """
+          SELECT event_type, 'run-1' AS _batch_id, count(*) AS rows FROM events
+          WHERE event_type IS DISTINCT FROM 'error' GROUP BY event_type""",
         "run_rows": cut + ALLOT
         + " SELECT 'batch-2' AS _batch_id, cap_round, count(*) AS rows FROM allot GROUP BY cap_round",
     }
@@ -576,6 +597,10 @@ def document_queries():
         "headers_ffill": cut + RENDERED
         + f" SELECT {CONTEXT_COLUMNS}, count(*) AS candidates FROM parsed GROUP BY ALL",
         "parse_documents": cut + RENDERED + " SELECT * FROM parsed",
+        "convert_tree": cut + RENDERED + """
+          SELECT cap_round, 2 * count(*) AS rows, 2 * count(mhtcet_score) AS scored, CAST(2 AS BIGINT) AS documents,
+                 CAST(2 AS BIGINT) AS timed, 2 * count(*) AS logged_rows, 100.0 AS pct
+          FROM parsed GROUP BY cap_round""",
         "row_flags": cut + RENDERED
         + " SELECT _validation_warnings, is_vacant, count(*) AS rows FROM parsed GROUP BY ALL",
         "coerce_types": cut + ALLOT + """

@@ -2,7 +2,10 @@
 
 from datetime import datetime, timezone
 
+from pyspark.sql import functions as F
+
 from cutline.operators import cleaning, marts, privacy, quality
+from cutline.schemas import METRICS_SCHEMA
 from cutline.sources import exports, ledger, tables
 from cutline.sources.csv_tree import read_csv_tree
 from cutline.streaming import ingest
@@ -59,7 +62,7 @@ def check_quality(spark, out, run_id, run_ts=None, incremental=False):
         run_id, stamp,
     )
     rows = tables.write_path(found.coalesce(1), at["dq_metrics"], mode="append")
-    return rows, spark.read.parquet(at["dq_metrics"]).where(f"run_id = '{run_id}'")
+    return rows, spark.read.schema(METRICS_SCHEMA).parquet(at["dq_metrics"]).filter(F.col("run_id") == F.lit(run_id))
 
 
 def run(spark, source, out, batch_id, incremental=False, strict_reference=True, masked_copy=False, rows_per_file=None):

@@ -7,7 +7,7 @@ from cutline.fixed_values import RAW_COLUMNS
 
 # CSV fields are read as text and coerced afterwards, because counters with gaps arrive as '1.0'.
 RAW_TEXT_SCHEMA = ", ".join(f"{name} string" for name, _ in RAW_COLUMNS)
-RAW_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in RAW_COLUMNS)
+MALFORMED = "_malformed"  # text of a row that has more or fewer fields than its header
 INTEGER_COLUMNS = tuple(name for name, kind in RAW_COLUMNS if kind == "int")
 BOOLEAN_COLUMNS = tuple(name for name, kind in RAW_COLUMNS if kind == "boolean")
 

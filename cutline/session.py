@@ -1,7 +1,6 @@
 """Session settings and the shared scratch folder."""
 
 import math
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -45,13 +44,13 @@ def shuffles_sized_for(spark, total_bytes):
 
 
 def scratch_dir(spark, label):
-    """A new folder for intermediate tables, under the shared folder named by spark.checkpoint.dir.
+    """A new folder for intermediate tables in a place that all executors share.
 
-    Only a local session without that setting (tests, bench) gets a machine-local folder.
+    That is the folder named by spark.checkpoint.dir, else the context's checkpoint folder, else the warehouse.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running this on a cluster")
-    return tempfile.mkdtemp(prefix=f"cutline-{label}-")
+    shared = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,9 +1,10 @@
 """CSV tree scan with provenance columns."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cutline.operators.cleaning import coerce_types
-from cutline.schemas import RAW_TEXT_SCHEMA
+from cutline.schemas import MALFORMED, RAW_TEXT_SCHEMA
 
 
 def with_provenance(df, batch_id):
@@ -19,13 +20,16 @@ def read_csv_tree(spark, root, batch_id, schema=RAW_TEXT_SCHEMA, infer=False, on
     """All CSV files below a folder, header line skipped, typed by the documented schema.
 
     Fields are read as text and coerced, so '01002' keeps its zero and '1.0' becomes 1. `one_level`
-    reads files exactly one folder down; otherwise any depth. Headers are checked against the schema.
+    reads files exactly one folder down; otherwise any depth. Headers are checked against the schema. Rows that
+    are wider or narrower than the schema are kept, with their text in `_malformed`.
     """
     reader = spark.read.option("header", True).option("encoding", "UTF-8")
     if infer:
         reader = reader.option("inferSchema", True)
     else:
-        reader = reader.schema(schema).option("enforceSchema", False)
+        declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        wide = T.StructType([*declared, T.StructField(MALFORMED, T.StringType())])
+        reader = reader.schema(wide).option("enforceSchema", False).option("columnNameOfCorruptRecord", MALFORMED)
     if one_level:
         return coerce_types(with_provenance(reader.csv(f"{root}/*/*.csv"), batch_id), score_type)
     files = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(root)

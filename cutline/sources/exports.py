@@ -4,28 +4,18 @@ from pyspark.sql import functions as F
 
 from cutline.operators.reports import filter_values
 
-MAX_VALUES_IN_ONE_OBJECT = 100_000
+FILTER_VALUES_SCHEMA = "field string, value string"
 
 
-def filter_metadata(mart):
-    """One row with the sorted lists of branches and categories, NULL excluded."""
-    def values(column):
-        return F.sort_array(F.collect_set(column))
+def export_filter_metadata(mart, path):
+    """Write the filter values as JSON lines, one per field and value, NULL excluded; the form is the same for any size."""
+    values = filter_values(mart).filter(F.col("value").isNotNull())
+    field = F.when(F.col("field") == "branch_name", "branch").otherwise("category")
+    values.select(field.alias("field"), "value").write.mode("overwrite").json(path)
 
-    return mart.agg(values("branch_name").alias("branches"), values("clean_category").alias("categories"))
 
-
-def export_filter_metadata(mart, path, max_values=MAX_VALUES_IN_ONE_OBJECT):
-    """Write the filter values as one JSON object; beyond `max_values` as one JSON line per value.
-
-    Nothing is dropped in either form. The size is checked on the distributed distinct values first.
-    """
-    distinct = filter_values(mart).filter(F.col("value").isNotNull())
-    if distinct.count() <= max_values:
-        filter_metadata(mart).coalesce(1).write.mode("overwrite").json(path)
-        return "object"
-    distinct.select("field", "value").write.mode("overwrite").json(path)
-    return "lines"
+def read_filter_metadata(spark, path):
+    return spark.read.schema(FILTER_VALUES_SCHEMA).json(path)
 
 
 def export_csv(df, path, **options):

@@ -15,6 +15,15 @@ def path_exists(spark, path):
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def mark_fill(spark, path, mode):
+    """Says in the folder how it is filled; the other way of filling it is refused."""
+    other = {"batch": "stream", "stream": "batch"}[mode]
+    if path_exists(spark, f"{path}/_filled_by_{other}"):
+        raise ValueError(f"{path} is filled by {other} writes; use another place")
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_filled_by_{mode}")
+    mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, True).close()
+
+
 def create_namespace(spark, name, location=None):
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}" + (f" LOCATION '{location}'" if location else ""))
 
@@ -45,14 +54,16 @@ def _writer(df, mode, fmt, partition_by, rows_per_file):
 
 def write_path(df, path, mode="overwrite", fmt="parquet", partition_by=(), rows_per_file=None):
     """Write files and return the number of rows, counted in the same job."""
-    if mode == "overwrite" and path_exists(df.sparkSession, f"{path}/_spark_metadata"):
+    spark = df.sparkSession
+    if path_exists(spark, f"{path}/_filled_by_stream"):
         raise ValueError(f"{path} is filled by a stream; write the batch result to another place")
     observed, seen = counted(df)
     _writer(observed, mode, fmt, partition_by, rows_per_file).save(path)
+    mark_fill(spark, path, "batch")
     return seen.get["rows"]
 
 
-def _fill_mode(spark, name):
+def fill_mode(spark, name):
     if not spark.catalog.tableExists(name):
         return None
     rows = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == FILL_PROPERTY).collect()
@@ -62,7 +73,7 @@ def _fill_mode(spark, name):
 def save_table(df, name, mode="overwrite", fmt="parquet", partition_by=(), rows_per_file=None):
     """Overwrite (schema may change) or append a catalog table and return the number of rows written."""
     spark = df.sparkSession
-    if _fill_mode(spark, name) == "stream":
+    if fill_mode(spark, name) == "stream":
         raise ValueError(f"{name} is filled by a stream; write the batch result to another table")
     observed, seen = counted(df)
     _writer(observed, mode, fmt, partition_by, rows_per_file).saveAsTable(name)

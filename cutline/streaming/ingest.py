@@ -1,20 +1,20 @@
 """Incremental ingest: only files that no earlier run has seen, run to completion.
 
-The checkpoint's file log makes discovery exactly-once, and the Parquet sink's commit log makes the
-output exactly-once as long as the target is read as a folder.
+The checkpoint's file log makes discovery exactly-once. A micro-batch writes one folder, which it replaces when
+it is repeated; that makes the output exactly-once.
 """
 
+import csv
 import json
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cutline.operators.cleaning import coerce_types
-from cutline.schemas import RAW_TEXT_SCHEMA
+from cutline.schemas import MALFORMED, RAW_TEXT_SCHEMA
 from cutline.sources.csv_tree import with_provenance
-from cutline.sources.tables import FILL_PROPERTY, path_exists
+from cutline.sources.tables import FILL_PROPERTY, fill_mode, mark_fill, path_exists, write_path
 
-MALFORMED = "_malformed"
 SNAPSHOT_SCHEMA = "version int, schema string"
 FILES_PER_TRIGGER = 10_000  # bounds what a failed micro-batch repeats on a first run over a large tree
 
@@ -55,7 +55,7 @@ def new_file_stream(spark, source, batch_id, schema=RAW_TEXT_SCHEMA, max_files_p
     declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     reader = (
         spark.readStream.schema(T.StructType([*declared, T.StructField(MALFORMED, T.StringType())]))
-        .option("header", True).option("encoding", "UTF-8")
+        .option("header", True).option("encoding", "UTF-8").option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", MALFORMED)
         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", max_files_per_trigger)
@@ -63,32 +63,97 @@ def new_file_stream(spark, source, batch_id, schema=RAW_TEXT_SCHEMA, max_files_p
     return coerce_types(with_provenance(reader.csv(source), batch_id))
 
 
-def append_available(stream, target, checkpoint, as_table=False):
-    """Write everything that is available now to a folder (or catalog table) and stop.
-
-    A folder is partitioned by batch id, so the rows of one run are read without touching the others.
-    """
+def append_available(stream, target, checkpoint):
+    """Write everything that is available now to a catalog table and stop."""
     spark = stream.sparkSession
-    if not as_table and path_exists(spark, f"{target}/_SUCCESS"):
-        raise ValueError(f"{target} is filled by batch writes; stream to another place")
-    writer = (
+    if fill_mode(spark, target) == "batch":
+        raise ValueError(f"{target} is filled by batch writes; stream to another table")
+    query = (
         stream.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).toTable(target)
     )
-    query = writer.toTable(target) if as_table else writer.partitionBy("_batch_id").start(target)
     query.awaitTermination()
-    if as_table:
-        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{FILL_PROPERTY}' = 'stream')")
+    spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{FILL_PROPERTY}' = 'stream')")
     return query
 
 
+def header_columns(line):
+    """Column names of a header line; a repeated name is an error."""
+    names = next(csv.reader([line.lstrip("\ufeff")]))
+    if len(set(names)) < len(names):
+        raise ValueError(f"header with a repeated name: {line}")
+    return names
+
+
+def by_header(lines, known):
+    """Rows of CSV lines (file, block, value), each file read by the names in its own header.
+
+    Files may differ in column order, lack columns (NULL then) or bring new ones (read as text). The distinct
+    headers, few of them, pass through the driver. Rows wider or narrower than their header are kept,
+    with their text in `_malformed`.
+    """
+    head = lines.filter("block = 0").withColumn("at", F.monotonically_increasing_id())
+    first = head.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    kinds = {field.name: field for field in known}
+    headed = lines.join(first, "file").filter((F.col("value") != F.col("header")) & (F.trim("value") != ""))
+    rows, found = None, []
+    for row in first.select("header").distinct().collect():
+        fields = [kinds.get(name, T.StructField(name, T.StringType())) for name in header_columns(row["header"])]
+        found += [field for field in fields if field.name not in kinds]
+        schema = T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])
+        parsed = F.from_csv("value", schema.toDDL(), {"columnNameOfCorruptRecord": MALFORMED})
+        part = headed.filter(F.col("header") == row["header"]).select(F.col("file").alias("_source_file"), parsed.alias("row"))
+        part = part.select("row.*", "_source_file")
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    return rows, widened(known, list({field.name: field for field in found}.values()))
+
+
 def ingest_new_files(spark, source, target, checkpoint, batch_id, schema=RAW_TEXT_SCHEMA, schema_location=None,
                      max_files_per_trigger=FILES_PER_TRIGGER, as_table=False):
-    """One incremental run from a CSV folder into a Bronze folder."""
+    """One incremental run from a CSV folder into a Bronze folder.
+
+    A micro-batch replaces the folder of its own number, so one that is repeated after a failure writes nothing
+    twice. Columns that the files bring are added to the schema snapshot. The catalog-table form keeps
+    to the declared columns and refuses files whose header is another one.
+    """
     if schema_location:
         schema = resolve_schema(spark, schema_location, schema)
-    stream = new_file_stream(spark, source, batch_id, schema, max_files_per_trigger)
-    return append_available(stream, target, checkpoint, as_table)
+    if as_table:
+        return append_available(new_file_stream(spark, source, batch_id, schema, max_files_per_trigger), target, checkpoint)
+    mark_fill(spark, target, "stream")
+    known = [T.StructType.fromDDL(schema) if isinstance(schema, str) else schema]
+
+    def load(lines, number):
+        rows, wide = by_header(lines, known[0])
+        if rows is None:
+            return
+        if schema_location and wide != known[0]:
+            known[0] = resolve_schema(spark, schema_location, wide)
+        stamped = coerce_types(rows).withColumns({"_ingest_ts": F.current_timestamp(), "_batch_id": F.lit(batch_id)})
+        stamped.write.mode("overwrite").partitionBy("_batch_id").parquet(f"{target}/micro_batch={number}")
+
+    lines = (
+        spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+        .option("maxFilesPerTrigger", max_files_per_trigger).text(source)
+        .select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    )
+    query = lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def delete_files(spark, target, pattern):
+    """Forget the files whose path is like `pattern` in all runs: a list beside the rows, which stay untouched.
+
+    Returns the number of files. Files that arrive later are not affected, unless they have the same path.
+    """
+    gone = spark.read.parquet(target).select("_source_file").filter(F.col("_source_file").like(pattern)).distinct()
+    return write_path(gone, deleted_location(target), mode="append")
+
+
+def deleted_location(target):
+    return f"{target.rstrip('/')}_deleted"
 
 
 def ingested_schema(spark, schema):
@@ -100,12 +165,16 @@ def ingested_schema(spark, schema):
 
 
 def read_ingested(spark, target, schema_location):
-    """The rows of all runs under the latest snapshot; columns that came later are NULL in earlier rows.
+    """The rows of all runs under the latest snapshot, without deleted files; columns that came later are NULL in earlier rows.
 
     The explicit schema saves the pass over all file footers that schema merging would need.
     """
     known, _ = read_snapshot(spark, schema_location)
-    return spark.read.schema(ingested_schema(spark, known)).parquet(target)
+    rows = spark.read.schema(ingested_schema(spark, known)).parquet(target).drop("micro_batch")
+    if path_exists(spark, deleted_location(target)):
+        deleted = spark.read.schema("_source_file string").parquet(deleted_location(target)).distinct()
+        rows = rows.join(deleted, "_source_file", "left_anti").select(*rows.columns)
+    return rows
 
 
 def run_counts(bronze):

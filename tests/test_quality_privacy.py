@@ -11,6 +11,19 @@ GRADES = [
 ]
 
 
+def test_all_rules_scan_each_layer_once(spark, folder):
+    from cutline.plans import layers
+
+    sf = "/root/testdata/sf0.001"
+    bronze, silver, gold = layers.bronze(spark, sf), layers.silver(spark, sf), layers.gold(spark, sf)
+    plan = quality.metrics(bronze, silver, gold, "r", "2025-01-01 00:00:00")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation [") == 3
+    marked = bronze.withColumn("_malformed", F.when(F.col("sr_no") == 1, "1,2,3"))
+    row = quality.well_formed(marked).first()
+    assert row.rows_failed == marked.filter("_malformed is not null").count() > 0
+
+
 def test_grading_golden_rows(spark):
     df = spark.createDataFrame(
         [(i, *g[:4]) for i, g in enumerate(GRADES)],
