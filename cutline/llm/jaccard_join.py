@@ -13,7 +13,7 @@ the whole corpus in one region. The pivots therefore come in two kinds:
    `common` documents are set in a bitmap of fixed size, which is broadcast.
 2. Within a region a document is the pivot. Distances to it are computed exactly; documents within eps of it
    form its cell and are linked. The rest recurses with a new pivot, as long as a tenth of the comparisons
-   link. What then remains apart is compared pair by pair, if the triangle inequality over the last common pivot and
+   link and they are a fiftieth of all links. What then remains apart is compared pair by pair, if the triangle inequality over the last common pivot and
    the sizes allow a link. Documents that are already connected need no comparison, so a group of
    thousands of near copies costs one comparison per member and pivot, not one per pair.
 
@@ -28,6 +28,7 @@ links with nothing and has no component. An empty table gives an empty result. O
 from functools import reduce
 
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cutline.llm.common import documents, new_folder, ship, stored
@@ -199,23 +200,33 @@ def _sizes_allow(x, y, share):
     return F.least(x, y) * share[1] >= F.greatest(x, y) * share[0]
 
 
-def _places_allow(x, at_x, y, at_y, share):
-    """Before a shared shingle at most the lesser place can be shared, behind it at most the lesser rest."""
-    most = F.least(at_x, at_y) + F.least(x - at_x, y - at_y)
-    return most * (share[0] + share[1]) >= (x + y) * share[0]
+def _least_shared(x, y, share):
+    """How many leading shingles two linked documents of these sizes share at least.
 
-
-def _enough(count, x, y, share):
-    """Whether the shared leading shingles leave room for the overlap that a link needs.
-
-    All shared shingles up to the end of the prefix that ends first are counted; behind it at most the rest of
-    that document can be shared.
+    All shared shingles up to the end of the prefix that ends first lead both documents; behind it at most the
+    rest of that document can be shared.
     """
     def rest(n):
         return F.greatest(F.lit(0), F.ceil(n * share[0] / share[1] - 1e-9) - 1 - F.floor(n / 16))
 
     need = F.ceil((x + y) * share[0] / (share[0] + share[1]) - 1e-9)
-    return count >= F.greatest(need - F.greatest(rest(x), rest(y)), F.lit(1))
+    return F.greatest(need - F.greatest(rest(x), rest(y)), F.lit(1))
+
+
+def _may_link(x, y, share):
+    """Whether two members (structs of a region) may link with the region's shingle as the first that they share.
+
+    Two linked documents meet in the region of their first shared shingle, so other regions need not name the
+    pair. Of a document's leading shingles `all` lead another document too, `met` of them before this one. The
+    first shared one has enough of them left in both documents. Shared shingles before any other are among the
+    `met` ones of both; behind it at most the lesser rest can be shared.
+    """
+    least = _least_shared(x["n"], y["n"], share)
+    left = (x["met"] + least <= x["all"]) & (y["met"] + least <= y["all"])
+    meet = F.least(x["met"], y["met"]) + F.least(x["all"] - x["met"], y["all"] - y["met"])
+    most = F.least(x["met"], y["met"]) + F.least(x["n"] - x["at"], y["n"] - y["at"])
+    room = most * (share[0] + share[1]) >= (x["n"] + y["n"]) * share[0]
+    return _sizes_allow(x["n"], y["n"], share) & left & (meet >= least) & room
 
 
 def _union(frames):
@@ -228,51 +239,50 @@ def _linked(measured, share):
 
 def _stars(members, share):
     """Pairs of a region's pivot (b) and a member (a) that are not connected yet and may be within eps."""
+    x, p = F.col("x"), F.col("p")
     return (
-        members.filter((F.col("part") != F.col("pp")) & _sizes_allow(F.col("n"), F.col("pn"), share))
-        .filter(_places_allow(F.col("n"), F.col("at"), F.col("pn"), F.col("pat"), share))
-        .groupBy(F.col("pivot").alias("b"), F.col("doc").alias("a"))
-        .agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("na"), F.first("pn").alias("nb"))
-        .filter(_enough(F.col("c"), F.col("na"), F.col("nb"), share))
-        .select("a", "b")
+        members.filter((F.col("part") != F.col("pp")) & _may_link(x, p, share))
+        .select(x["doc"].alias("a"), p["doc"].alias("b")).distinct()
     )
 
 
-def _recurse(members, parts):
-    """Regions that still hold several components, each with a pivot from outside the last pivot's component.
+def _with_pivots(members):
+    """(key, x, part) with the region's pivot p and its part pp.
 
     The pivot is the member that has the region's shingle first in its order: it has the fewest rare ones
-    before it, so of a group of near copies it is the one that most others are near to.
+    before it, so of a group of near copies it is the one that most others are near to. Of regions with a
+    pivot before (its part is `was`) the new one is from outside of its component; others are done.
     """
+    pivots = members.filter("was is null or part != was").groupBy("key").agg(F.min(F.struct("x", "part")).alias("next"))
+    return members.drop("was").join(pivots, "key").select(
+        "key", "x", "part", F.col("next.x").alias("p"), F.col("next.part").alias("pp"))
+
+
+def _recurse(members, parts):
+    """Regions that still hold several components, with new pivots."""
     doc = parts.select(F.col("node").alias("doc"), "component")
     last = parts.select(F.col("node").alias("pivot"), F.col("component").alias("was"))
-    members = members.select("key", "doc", "n", "at", "pivot").join(doc, "doc", "left").join(last, "pivot", "left").select(
-        "key", "doc", "n", "at", F.coalesce("component", "doc").alias("part"), F.coalesce("was", "pivot").alias("was"))
-    lead = members.filter("part != was").groupBy("key").agg(F.min(F.struct("at", "doc", "n", "part")).alias("next"))
-    return members.drop("was").join(lead, "key").select(
-        "key", "doc", "n", "at", "part", F.col("next.doc").alias("pivot"), F.col("next.n").alias("pn"),
-        F.col("next.at").alias("pat"), F.col("next.part").alias("pp"))
+    members = members.select("key", "x", F.col("x.doc").alias("doc"), F.col("p.doc").alias("pivot"))
+    return _with_pivots(members.join(doc, "doc", "left").join(last, "pivot", "left").select(
+        "key", "x", F.coalesce("component", "doc").alias("part"), F.coalesce("was", "pivot").alias("was")))
 
 
 def _apart(members, measured, share):
-    """Pairs of region members that are not connected, unless sizes or the triangle inequality rule a link out."""
+    """Pairs of region members that are not connected, unless places, sizes or the triangle inequality rule a link out."""
     distance = _union([
         known.select(F.col("a").alias("doc"), F.col("b").alias("pivot"), (1 - F.col("both") / F.col("either")).alias("d"))
         for known in measured
     ])
-    sides = members.join(distance, ["doc", "pivot"], "left")
-    x = sides.select("key", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("part").alias("pa"), F.col("d").alias("da"))
-    y = sides.select("key", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("part").alias("pb"), F.col("d").alias("db"))
+    sides = members.withColumns({"doc": F.col("x.doc"), "pivot": F.col("p.doc")}).join(distance, ["doc", "pivot"], "left")
+    x = sides.select("key", "x", F.col("part").alias("px"), F.col("d").alias("dx"))
+    y = sides.select("key", F.col("x").alias("y"), F.col("part").alias("py"), F.col("d").alias("dy"))
     eps = 1 - share[0] / share[1]
-    window = F.coalesce(F.abs(F.col("da") - F.col("db")) <= eps + 1e-9, F.lit(True))
+    window = F.coalesce(F.abs(F.col("dx") - F.col("dy")) <= eps + 1e-9, F.lit(True))
     return (
         x.join(y, "key")
-        .filter((F.col("a") > F.col("b")) & (F.col("pa") != F.col("pb")) & window)
-        .filter(_sizes_allow(F.col("na"), F.col("nb"), share))
-        .filter(_places_allow(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib"), share))
-        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-        .filter(_enough(F.col("c"), F.col("na"), F.col("nb"), share))
-        .select("a", "b")
+        .filter((F.col("x.doc") > F.col("y.doc")) & (F.col("px") != F.col("py")) & window)
+        .filter(_may_link(F.col("x"), F.col("y"), share))
+        .select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
     )
 
 
@@ -300,18 +310,21 @@ def jaccard_classes(docs, words=5, share=(80, 100), common=32):
     reps = classes.select(F.col("rep").alias("doc_id"), "th")
     leading = leading_shingles(docs, words, share, late).join(reps, ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
     rows = stored(_exploded(leading), f"{root}/leading")
-    regions = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("at", "doc", "n")).alias("p")).filter("c > 1")
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    own = Window.partitionBy("doc")
+    met = rows.join(shared, "key").withColumns({
+        "met": F.row_number().over(own.orderBy("at")) - 1, "all": F.count(F.lit(1)).over(own).cast("int")})
+    # A linked document shares at least as many leading shingles as `_shared` asks of the smaller one.
+    able = met.filter(F.col("all") >= F.floor(F.col("n") * share[0] / share[1] / 16))
+    members = stored(able.select("key", F.struct("at", "doc", "n", "met", "all").alias("x")), f"{root}/able")
     members = stored(
-        rows.join(regions, "key").select(
-            "key", "doc", "n", "at", F.col("doc").alias("part"),
-            F.col("p.doc").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.at").alias("pat"), F.col("p.doc").alias("pp")),
-        f"{root}/members0")
-    marked = _only_marked(docs, _bitmap(members, F.xxhash64("doc")))
+        _with_pivots(members.withColumns({"part": F.col("x.doc"), "was": F.lit(None).cast("long")})), f"{root}/members0")
+    marked = _only_marked(docs, _bitmap(members.filter("p.doc != x.doc").select(F.explode(F.array("p.doc", "x.doc")).alias("doc")), F.xxhash64("doc")))
     texts = marked.join(reps, ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"]).drop("th")
     texts.write.option("compression", "zstd").parquet(f"{root}/texts")
     texts = spark.read.parquet(f"{root}/texts")
 
-    measured, links, parts = [], [], None
+    measured, links, parts, total = [], [], None, 0
     while True:
         turn = len(measured)
         found = stored(_measured(_new(_stars(members, share), measured), texts, words), f"{root}/stars{turn}")
@@ -321,7 +334,8 @@ def jaccard_classes(docs, words=5, share=(80, 100), common=32):
         if near:
             parts = components(_union(links))
             members = stored(_recurse(members, parts), f"{root}/members{turn + 1}")
-        if near * 10 <= compared:
+        total += near
+        if near * 10 <= compared or near * 50 <= total:
             break
     rest = stored(_measured(_new(_apart(members, measured, share), measured), texts, words), f"{root}/pairs")
     links.append(_linked(rest, share))

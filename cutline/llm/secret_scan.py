@@ -9,8 +9,8 @@ or more. The network sees a candidate's first characters and its surroundings. I
 corpus' own labelled findings: values of base findings against candidates outside of them, at most
 `per_class` of each, chosen by hash with a partial minimum per task. A third of the sample is held back to
 calibrate the threshold. Candidates outside of base findings may be secrets too, so those that the first
-fit takes for findings are left out of the second one. The threshold is as high as possible while at least `recall` of the held-back findings are kept, and
-never below `least`. Candidates above it become `net` spans.
+fit takes for findings are left out of the second one. The threshold is as high as possible while at least
+`recall` of the held-back findings are kept, and never below `least`. Candidates above it become `net` spans.
 
 Rows: null or empty text has no spans. Texts of any length are scanned whole. Repeated rows get the same answer.
 Without any finding in the corpus there is nothing to learn, and base findings are all. An empty
