@@ -145,3 +145,20 @@ def test_network_adds_what_looks_like_findings(spark):
 
 def test_overlapping_spans_leave_one_mark():
     assert secret_scan.blanked("ab0123456789cd", "assign:2:8,hex:4:12,net:12:13", "#") == "ab##d"
+
+
+def mixed(number=150):
+    rng = random.Random(8)
+    code = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    path = "/".join(["stone", "river", "counterrevolutionaries", "meadow"])
+    rows = [(i, f"at {path}/{code(40)}/{path} or {path}/{path} and www.example.org/a1/b2", "x") for i in range(number)]
+    return rows, path, code
+
+
+def test_keys_deep_in_a_run_are_found(spark):
+    rows, path, code = mixed()
+    keys = {i: code(22) + "zz" + code(16) for i in range(510, 530)}
+    rows += [(i, f"see {path}/{path}/{key}/{path} there", "x") for i, key in keys.items()]
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(plain.frame(spark, rows)).collect()}
+    assert sum(key not in clean[i] for i, key in keys.items()) >= 12
+    assert sum(clean[i].startswith("see stone/river/") for i in keys) >= 18
