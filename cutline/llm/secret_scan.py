@@ -5,7 +5,8 @@ end exclusive): `assign`, a secret's name with a value of 6 characters or more;
 20 or more; `hex`, 24 or more hex digits. They always stay.
 
 Candidates are all other maximal runs of the characters that values are made of: 16 or more with a digit, or 24
-or more; a run that overlaps a base span is known. The network sees a candidate through windows of `INSIDE` characters
+or more. Base spans are taken out of a run first: what they cover is known, and each remaining part that still
+meets that rule is a candidate of its own. The network sees a candidate through windows of `INSIDE` characters
 every `STEP` characters, the last one at its end, each with its surroundings. It is trained on windows of the
 corpus' own labelled findings: values of base findings against candidates outside of them, at most
 `per_class` of each, chosen by hash with a partial minimum per task. A third of the values, chosen by hash too,
@@ -24,6 +25,7 @@ import hashlib
 import pickle
 import re
 import zlib
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -66,10 +68,24 @@ def candidate(run):
 
 
 def candidates(text, spans):
-    """(start, end, whether a base span overlaps it) of runs that may be values."""
+    """(start, end, whether base spans cover it) of parts of runs that may be values; spans are sorted by start."""
+    covered = []
+    for start, _, end in spans:
+        if covered and start <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], end)
+        else:
+            covered.append([start, end])
+    ends = [end for _, end in covered]
     for m in CANDIDATE.finditer(text):
-        if candidate(m[0]):
-            yield m.start(), m.end(), any(start < m.end() and end > m.start() for start, _, end in spans)
+        at, last, n = m.start(), m.end(), bisect_right(ends, m.start())
+        parts = []
+        while n < len(covered) and covered[n][0] < last:
+            start, end = max(at, covered[n][0]), min(last, covered[n][1])
+            parts += [(at, start, False), (start, end, True)]
+            at, n = end, n + 1
+        for start, end, known in [*parts, (at, last, False)]:
+            if candidate(text[start:end]) or known and end - start >= 16:
+                yield start, end, known
 
 
 def starts(start, end):
