@@ -13,7 +13,7 @@ corpus' own labelled findings: values of base findings against candidates outsid
 is held back to calibrate the threshold. Candidates outside of base findings may be secrets too, so windows that
 a first fit, on the other half of them, takes for findings are left out of the last one. A candidate's score is that of its best window.
 The threshold is as high as possible while at least `recall` of all held-back findings of the corpus are kept;
-they are counted by score in `BINS` bins. It is never below `least`. Windows above it become `net` spans, joined where they
+they are counted by score in `BINS` bins. Windows above it become `net` spans, joined where they
 overlap, and widened to whole groups of letters and digits.
 
 Rows: null or empty text has no spans. Texts of any length are scanned whole. Repeated rows get the same answer.
@@ -192,7 +192,7 @@ def calibrate(found, net, recall, held):
     return None
 
 
-def fit(found, per_class=1500, recall=0.98, least=0.9):
+def fit(found, per_class=1500, recall=0.98):
     """A network and its threshold, or None when there are no findings, or nothing else, to learn from."""
     import numpy as np
 
@@ -225,7 +225,7 @@ def fit(found, per_class=1500, recall=0.98, least=0.9):
         if own.any() and other.any():
             doubtful[own] = learn((y == 1) | other).predict(x[own])[:, 1] >= 0.5
     net = learn(~doubtful if (~doubtful & (y == 0)).any() else np.ones(len(y), bool))
-    return net, max(least, calibrate(found, net, recall, bool(split)))
+    return net, calibrate(found, net, recall, bool(split))
 
 
 def flagged(start, end, windows, scores, threshold):

@@ -171,3 +171,25 @@ def test_base_spans_are_taken_out_of_runs(spark):
     assert list(secret_scan.candidates(text, spans)) == [(2, 22, True), (22, 22 + len(rest), False)]
     text = "ab" * 10 + "/" + "0123456789abcdef" * 2 + "/" + "x" * 30
     assert list(secret_scan.candidates(text, [(21, 2, 53)])) == [(21, 53, True), (53, 84, False)]
+
+
+def test_recall_of_all_held_back_findings(spark):
+    rng = random.Random(4)
+    rows = [(i, f"token = {''.join(rng.choice('abcdefgh1/-.') for _ in range(20))} see {''.join(rng.choice('abcdefgi1/-.') for _ in range(20))}", "x")
+            for i in range(900)]
+    found = secret_scan.scan(plain.frame(spark, rows)).cache()
+    net, threshold = secret_scan.fit(found)
+    pairs = [(bytes(w), h) for r in found.collect() for w, k, h in zip(r["windows"], r["known"], r["held"]) if k]
+    scores = net.predict(np.array([np.frombuffer(w, np.uint8) for w, h in pairs if h]))[:, 1]
+    assert len(scores) > 200 and (scores >= threshold).mean() >= 0.98 - 1e-9
+
+
+def test_doubtful_networks_keep_the_recall(spark, monkeypatch):
+    def flat(self, *_, **__):
+        self.out[:] = 0
+        return self
+
+    monkeypatch.setattr(convnet.ConvNet, "fit", flat)
+    found = secret_scan.scan(plain.frame(spark, mixed()[0])).cache()
+    net, threshold = secret_scan.fit(found)
+    assert threshold == net.predict(np.zeros((1, 64), np.uint8))[0, 1] == 0.5
