@@ -9,8 +9,9 @@
    each pattern, chosen by hash), weighted by the pattern's documents. They train a linear scorer over
    hashed byte n-grams and the labellers' measures in steps.
 4. Every whole text is scored. The mean weight of n-grams is shrunk by `SHRINK` n-grams, so that a few words
-   alone do not condemn a text. The threshold keeps at least `keep` of the sample's posterior weight of
-   good documents, and is `most` at most: rejection is for clear cases, clean text stays.
+   alone do not condemn a text. The threshold keeps at least `keep` of the posterior weight of good
+   documents, and is `most` at most: rejection is for clear cases, clean text stays. That weight is summed
+   over the scores of all whole texts of the corpus, in steps of 1 / 64 of the odds' logarithm.
 
 Rows: null text, and text without words, has score 0 and is rejected. Repeated rows get the same answer. An
 empty table gives an empty result. The id and other columns are no inputs.
@@ -152,11 +153,11 @@ def train(pieces, labels, weights, share, epochs=30, rate=20.0, seed=5):
     return w, bias
 
 
-def score_slice(w, bias, data, offsets):
-    """Probability of good for each text of a slice; 0 for texts without words."""
+def score_slice(w, bias, data, offsets, measured=None):
+    """Probability of good for each text of a slice; 0 for texts without words. `measured`: their features, if known."""
     import numpy as np
 
-    measures, words = features(data, offsets)
+    measures, words = measured or features(data, offsets)
     sums, counts = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1)
     for size, codes in zip(SIZES, hashed(data)):
         run = np.concatenate(([0.0], np.cumsum(w[codes], dtype=np.float64)))
@@ -196,6 +197,52 @@ def _patterns(docs, per_pattern):
         F.count(F.lit(1)).alias("documents"), F.min_by("piece", "h").alias("piece"))
 
 
+def edges():
+    """The lower edges of the score bins."""
+    import numpy as np
+
+    return np.concatenate(([0.0], 1 / (1 + np.exp(-np.arange(-30, 30, 1 / 64)))))
+
+
+def totals(docs, w, bias, posterior):
+    """Posterior weight of good, in units of 2 ** -20, by score bin over all whole texts with words.
+
+    `posterior` maps vote patterns to weights. Whole units make the sums independent of their order.
+    """
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps((w, bias, posterior)))
+
+    def run(batches):
+        import numpy as np
+
+        w, bias, posterior = pickle.loads(shared.value)
+        units = np.zeros(3 ** len(LABELLERS), np.int64)
+        units[list(posterior)] = np.rint(np.array(list(posterior.values())) * (1 << 20))
+        bins = edges()
+        sums = np.zeros(len(bins), np.int64)
+        for batch in batches:
+            for _, _, data, offsets in text_slices(batch.column(0)):
+                measures, counts = features(data, offsets)
+                own = units[votes(measures) @ (3 ** np.arange(len(LABELLERS)))][counts > 0]
+                scores = score_slice(w, bias, data, offsets, (measures, counts))[counts > 0]
+                np.add.at(sums, np.searchsorted(bins, scores, "right") - 1, own)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["bin", "weight"])
+
+    rows = docs.select("text").mapInArrow(run, "bin long, weight long")
+    return {r["bin"]: r["weight"] for r in rows.groupBy("bin").agg(F.sum("weight").alias("weight")).collect()}
+
+
+def threshold_of(weights, keep, most):
+    """The highest lower edge of a bin that keeps at least `keep` of the weight, `most` at most."""
+    bins, total, lost = edges(), sum(weights.values()), 0
+    for at in sorted(weights):
+        lost += weights[at]
+        if lost > (1 - keep) * total:
+            return min(most, float(bins[at]))
+    return most
+
+
 def fit(docs, per_pattern=64, keep=0.995, most=0.35):
     """A dict with the scorer's weights, its threshold, and the labellers' estimated accuracies; None without words."""
     import numpy as np
@@ -210,10 +257,8 @@ def fit(docs, per_pattern=64, keep=0.995, most=0.35):
     posterior, odds, share = estimate(patterns, np.bincount(at, documents_))
     labels, pieces = posterior[at], [bytes(r["piece"]) for r in rows]
     w, bias = train(pieces, labels, documents_, share)
-    scores = np.array([score_slice(w, bias, np.frombuffer(p, np.uint8), np.array([0, len(p)]))[0] for p in pieces])
-    order = np.argsort(scores)
-    lost = np.cumsum((documents_ * labels)[order]) / max((documents_ * labels).sum(), 1e-9)
-    threshold = min(most, float(scores[order[np.searchsorted(lost, 1 - keep, "right")]])) if (labels > 0.5).any() else most
+    weights = totals(docs, w, bias, dict(zip(codes.tolist(), posterior.tolist()))) if (labels > 0.5).any() else {}
+    threshold = threshold_of(weights, keep, most)
     good = {name: odds[i] for i, name in enumerate(LABELLERS)}
     return {"weights": w, "bias": bias, "threshold": threshold, "share": share, "labellers": good}
 

@@ -193,3 +193,22 @@ def test_doubtful_networks_keep_the_recall(spark, monkeypatch):
     found = secret_scan.scan(plain.frame(spark, mixed()[0])).cache()
     net, threshold = secret_scan.fit(found)
     assert threshold == net.predict(np.zeros((1, 64), np.uint8))[0, 1] == 0.5
+
+
+def test_quality_threshold_covers_all_texts(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randrange(2, 9)))
+    rows = [(i, ". ".join(" ".join(word() for _ in range(8)) for _ in range(12)), "x") for i in range(600)]
+    rows += [(1000 + i, "### ||| " * 40 + "AA AA AA " * 20, "x") for i in range(60)]
+    docs = plain.frame(spark, rows)
+    w = np.zeros(quality.BUCKETS + len(quality.LABELLERS) * quality.STEPS, np.float32)
+    w[:quality.BUCKETS] = np.random.default_rng(1).normal(0, 3, quality.BUCKETS)
+    data = [np.frombuffer(t.encode(), np.uint8) for _, t, _ in rows]
+    codes = [int((quality.votes(quality.features(d, np.array([0, len(d)]))[0]) @ (3 ** np.arange(8)))[0]) for d in data]
+    posterior = {c: 1.0 if (i < 600) else 0.0 for (i, _, _), c in zip(rows, codes)}
+    weights = quality.totals(docs, w, 0.0, posterior)
+    least = quality.threshold_of(weights, 0.98, 1.0)
+    scores = np.sort([quality.score_slice(w, 0.0, d, np.array([0, len(d)]))[0] for d, c in zip(data, codes) if posterior[c]])
+    assert sum(weights.values()) == len(scores) << 20
+    lost = lambda at: (scores < at).sum() / len(scores)
+    assert lost(least) <= 0.02 < lost(quality.edges()[np.searchsorted(quality.edges(), least) + 1])
