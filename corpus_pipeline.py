@@ -24,10 +24,24 @@ def line_stage(spark, docs, sf_dir):
 
 
 def near_stage(spark, docs, sf_dir):
-    """Of each group of near-duplicates (five words, 0.8 or more) the document with the smallest id stays."""
-    classes = jaccard_join.jaccard_classes(docs, words=5, share=(80, 100))
-    gone = classes.filter("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near-duplicates (five words, 0.8 or more) one row stays, of the document with the smallest id.
+
+    A document is an id with a text: rows that repeat an id with another text are judged on their own. Rows without
+    an id, or without five words, link with nothing and stay.
+    """
+    root, own = new_folder(spark, "near"), docs.withColumn("__th", F.xxhash64("text"))
+    with_id = own.filter(F.col("doc_id").isNotNull())
+    # Numbers that grow with the id stand for the pairs.
+    pairs = with_id.select("doc_id", "__th").distinct().orderBy("doc_id", "__th")
+    keyed = with_id.join(stored(pairs.withColumn("__key", F.monotonically_increasing_id()), f"{root}/keys"), ["doc_id", "__th"])
+    numbered = stored(keyed.select(F.col("__key").alias("doc_id"), "text"), f"{root}/numbered")
+    classes = jaccard_join.jaccard_classes(numbered, words=5, share=(80, 100))
+    kept = stored(
+        classes.filter("component_id = doc_id").groupBy(F.col("doc_id").alias("__key")).agg(
+            F.max("n_shingles").alias("__n"), F.count(F.lit(1)).alias("__rows")), f"{root}/kept")
+    single = keyed.join(kept.filter("__rows = 1 or __n = 0"), "__key").select(*docs.columns)
+    repeated = keyed.join(kept.filter("__rows > 1 and __n > 0"), "__key").dropDuplicates(["__key"]).select(*docs.columns)
+    return single.unionByName(repeated).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def secret_stage(spark, docs, sf_dir):

@@ -52,3 +52,12 @@ def test_the_query_is_registered():
     assert "pipeline" in entry.queries() and cp.ORACLE_SQL is None
     assert len([q for q in entry.queries() if q.startswith("op")]) == 10
     assert callable(quality.classify)
+
+
+def test_near_duplicates_with_repeated_ids(spark):
+    text = lambda word: " ".join(f"{word}{n}" for n in range(40))
+    data = [(1, text("a"), "x"), (1, text("a"), "x"), (2, text("a") + " end", "x"), (2, text("b"), "x"), (3, text("c"), "x"),
+            (4, text("b") + " end", "x"), (5, "", "x"), (5, "", "x"), (None, text("a"), "x"), (6, text("c"), "y"), (6, text("d"), "y")]
+    out = cp.near_stage(spark, plain.frame(spark, data), plain.SF).select("doc_id", "text").collect()
+    want = [(1, text("a")), (2, text("b")), (3, text("c")), (5, ""), (5, ""), (None, text("a")), (6, text("d"))]
+    assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
