@@ -1,8 +1,8 @@
 """Registered queries of this folder and their SQL."""
 
 from cutline.llm import (
-    byte_bpe, exact_dedup, jaccard_join, language_id, lattice_dedup, line_dedup, packing, quality, secret_scan,
-    token_counts,
+    bestfit_packing, byte_bpe, conversation_repair, exact_dedup, jaccard_join, language_id, lattice_dedup, line_dedup,
+    packing, periodic_runs, quality, secret_scan, token_counts,
 )
 
 
@@ -18,6 +18,9 @@ def all_queries():
         "op8_jaccard_join": jaccard_join.op8_jaccard_join,
         "op9_byte_bpe": byte_bpe.op9_byte_bpe,
         "op10_packing": packing.op10_packing,
+        "op11_conversation_repair": conversation_repair.op11_conversation_repair,
+        "op12_bestfit_packing": bestfit_packing.op12_bestfit_packing,
+        "op13_periodic_runs": periodic_runs.op13_periodic_runs,
     }
 
 
