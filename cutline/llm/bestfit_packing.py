@@ -57,33 +57,31 @@ class SpacedEncoder:
         self.special = [t["content"] for t in parts["added_tokens"]]
         self.unsafe = regex.compile(r"\s (?:\s|\Z)").search
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.words = Recent(self._words, most=1_000_000)
+        self.words = Recent(self._words, most=2_000_000)
 
     def _ids(self, texts):
-        import numpy as np
+        from array import array
 
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        kind = "H" if self.dtype.itemsize == 2 else "I"
+        return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _words(self, words):
         return self._ids([" " + w for w in words])
 
     def encode(self, texts):
         """Little-endian ids of each text with the end id."""
-        cut, whole = [], []
+        cut, first, whole = [], [], {}
         for n, text in enumerate(texts):
             if not self.spaced or self.unsafe(text) or any(s in text for s in self.special):
-                whole.append(n)
-                cut.append(None)
-            else:
-                cut.append(text.split(" "))
-        known = self.words.learn(set().union(*(words[1:] for words in cut if words)))
-        first = iter(self._ids([words[0] for words in cut if words]))
-        rest = dict(zip(whole, self._ids([texts[n] for n in whole])))
-        return [
-            (rest[n] if words is None else b"".join([next(first), *map(known.__getitem__, words[1:])])) + self.end
-            for n, words in enumerate(cut)
-        ]
+                whole[n] = text
+                text = ""
+            words = text.split(" ")
+            first.append(words.pop(0))
+            cut.append(words)
+        out = [b"".join((a, *rest, self.end)) for a, rest in zip(self._ids(first), self.words.values(cut))]
+        for n, ids in zip(whole, self._ids(list(whole.values()))):
+            out[n] = ids + self.end
+        return out
 
 
 _encoders = {}
