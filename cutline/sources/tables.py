@@ -10,9 +10,42 @@ from pyspark.sql import functions as F
 FILL_PROPERTY = "cutline.fill"
 
 
-def path_exists(spark, path):
+def located(spark, path):
+    """A path and its file system."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark, path):
+    location, files = located(spark, path)
+    return files.exists(location)
+
+
+def delete_path(spark, path):
+    location, files = located(spark, path)
+    return files.delete(location, True)
+
+
+def folders_below(spark, path):
+    """Names of the folders directly below a path; none if it does not exist."""
+    location, files = located(spark, path)
+    if not files.exists(location):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(location) if s.isDirectory())
+
+
+def note(spark, path, text):
+    """Text of a small file, which is created with `text` if it does not exist yet. The first writer wins."""
+    location, files = located(spark, path)
+    if not files.exists(location):
+        out = files.create(location, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+    stream = files.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def mark_fill(spark, path, mode):
@@ -93,3 +126,27 @@ def replace_rows(spark, name, keep):
     rows = save_table(spark.table(staged), name)
     spark.sql(f"DROP TABLE {staged}")
     return rows
+
+
+def delete_touched(spark, path, doomed, partition):
+    """Deletes the rows of a partitioned folder for which `doomed` holds, and rewrites only the partitions that have such rows.
+
+    The values of touched partitions pass through the driver, so that the scan opens no other partition. They are replaced
+    one by one when all are written; a run that fails before leaves the table as it was, and a repeated run ends the work.
+    Returns the number of deleted rows.
+    """
+    rows = spark.read.parquet(path)
+    doomed = F.coalesce(doomed, F.lit(False))
+    hit = rows.groupBy(partition).agg(F.count(F.lit(1)).alias("rows"), F.count_if(doomed).alias("gone")).filter("gone > 0").collect()
+    left = [r[partition] for r in hit if r["gone"] < r["rows"]]
+    if left:
+        known = F.col(partition).isin([v for v in left if v is not None])
+        touched = known | F.col(partition).isNull() if None in left else known
+        rows.filter(touched & ~doomed).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            partition).parquet(path)
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for r in hit:
+        if r["gone"] == r["rows"]:
+            value = r[partition]
+            delete_path(spark, f"{path}/{name(partition, value if value is None else str(value))}")
+    return sum(r["gone"] for r in hit)
