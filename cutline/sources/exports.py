@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from cutline.operators.reports import filter_values
+from cutline.sources.tables import delete_path
 
 FILTER_VALUES_SCHEMA = "field string, value string"
 
@@ -33,3 +34,45 @@ def export_csv_tree(df, path, folder="cap_round", document=None):
     foldered.write.mode("overwrite").option("header", True).option("partitionOverwriteMode", "dynamic").partitionBy(
         "folder", *below
     ).csv(path)
+
+
+PLACE = ("document", "seg", "pos")
+
+
+def export_ordered_tree(df, path, folder="cap_round", rows_per_file=1_000_000):
+    """Appends rows with their place (document, seg, pos) to a CSV tree with one folder per round, in the documents' order.
+
+    Rows are dealt out by ranges of round and place, so the files of a round follow each other in the order of their names, a
+    document is never a file of its own, and one with very many rows is spread over several. Their number is bounded by the
+    number of rows over `rows_per_file`, and one more per round.
+    """
+    placed = df.withColumn("folder", F.col(folder))
+    files = max(1, -(-df.count() // rows_per_file))
+    ranged = placed.repartitionByRange(files, "folder", *PLACE).sortWithinPartitions("folder", *PLACE)
+    ranged.write.mode("append").option("header", True).partitionBy("folder").csv(path)
+
+
+def read_ordered_tree(spark, path):
+    """Rows of an ordered tree as text columns, with typed places."""
+    rows = spark.read.option("header", True).csv(path).drop("folder")
+    return rows.withColumns({"seg": F.col("seg").cast("bigint"), "pos": F.col("pos").cast("bigint")})
+
+
+def drop_documents(spark, path, documents):
+    """Takes the rows of documents out of an ordered tree; folders without such rows keep their files."""
+    rows = spark.read.option("header", True).csv(path)
+    rows = rows.withColumn("folder", F.col("folder").cast("string"))
+    gone = documents.select("document").distinct()
+    touched = [r[0] for r in rows.join(gone, "document", "left_semi").select("folder").distinct().collect()]
+    if not touched:
+        return 0
+    stays = rows.filter(F.col("folder").isin(touched)).join(gone, "document", "left_anti").select(*rows.columns)
+    left = {r[0] for r in stays.select("folder").distinct().collect()}
+    by_place = [F.col("document"), F.col("seg").cast("bigint"), F.col("pos").cast("bigint")]
+    stays.repartitionByRange("folder", *by_place).sortWithinPartitions("folder", *by_place).write.mode("overwrite").option(
+        "header", True).option("partitionOverwriteMode", "dynamic").partitionBy("folder").csv(path)
+    for value in touched:
+        if value not in left:
+            name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("folder", value)
+            delete_path(spark, f"{path}/{name}")
+    return len(touched)
