@@ -50,7 +50,7 @@ def measure(spark, sf_dir):
         seconds[name] = round(time.time() - start, 3)
 
     timed("bronze_ingest", lambda: pipeline.load_bronze(spark, source, out, "b1"))
-    bronze = spark.read.parquet(at["bronze"])
+    bronze = pipeline.read_layer(spark, out, "bronze")
     timed("silver_clean", lambda: tables.write_path(cleaning.build_silver(bronze), at["silver"]))
     silver = spark.read.parquet(at["silver"])
     timed("seat_facts", lambda: tables.write_path(marts.seat_facts(silver), at["facts"]))
@@ -59,7 +59,7 @@ def measure(spark, sf_dir):
     timed("mart_by_pool", lambda: tables.write_path(marts.pool_mart_from_facts(facts), at["gold_pool"]))
     gold = spark.read.parquet(at["gold_main"])
     timed("mart_main_from_silver", lambda: drain(marts.main_mart(silver)))
-    timed("quality_report", lambda: pipeline.check_quality(spark, out, "b1"))
+    timed("quality_report", lambda: pipeline.check_quality(spark, out, "b1", bronze, silver, gold))
     timed("filter_export", lambda: exports.export_filter_metadata(gold, at["filter_values"]))
     timed("lookup", lambda: lookup.predict(gold, **STUDENT).collect())
     timed("verify_layer", lambda: drain(reports.verify_layer(silver)))

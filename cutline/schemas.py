@@ -19,4 +19,4 @@ CONVERSION_LOG_SCHEMA = (
     "status string, file string, round string, rows int, warnings int, method string, "
     "elapsed_s double, ts string, error string"
 )
-LEDGER_SCHEMA = "run_id string, ts timestamp, layer string, operation string, rows bigint"
+LEDGER_SCHEMA = "run_id string, ts timestamp, layer string, operation string, rows bigint, folder string"

@@ -7,9 +7,9 @@ from cutline.schemas import LEDGER_SCHEMA
 
 
 def record(spark, path, run_id, entries):
-    """Append (layer, operation, rows) entries with one time stamp per entry."""
+    """Append (layer, operation, rows) entries, with the folder of a published layer behind them, in one commit with one time stamp."""
     rows = spark.createDataFrame(
-        [(run_id, None, layer, operation, rows) for layer, operation, rows in entries], LEDGER_SCHEMA
+        [(run_id, None, *entry[:3], entry[3] if len(entry) > 3 else None) for entry in entries], LEDGER_SCHEMA
     )
     rows.withColumn("ts", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
 
