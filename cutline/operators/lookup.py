@@ -23,7 +23,7 @@ def eligible(mart, category, branch, gender, score, any_gender=True):
 
 
 def with_outlook(mart, score):
-    """First reachable round and distance to the first-round cutoff."""
+    """First reachable round and distance to the first-round cutoff; the score is a value or a column."""
     return mart.withColumns({
         "likely_round": rules.likely_round(fixed.CUTOFF_COLUMNS, F.lit(score)),
         "score_gap": F.round(F.lit(score) - F.col(fixed.CUTOFF_COLUMNS[0]), 2),
@@ -66,13 +66,60 @@ def display_results(results):
     return shown.withColumnsRenamed(fixed.DISPLAY_NAMES)
 
 
-def result_metrics(results):
-    """How many groups were found, and how many are likely in each round (the last two together)."""
+SCORE_BINS = 16
+
+
+def score_limits(mart, bins=SCORE_BINS):
+    """At most bins - 1 rising limits that deal the groups of a mart into bins of about equal size by their last cutoff."""
+    shares = [n / bins for n in range(1, bins)]
+    found = mart.agg(F.percentile_approx(fixed.CUTOFF_COLUMNS[-1], shares, 10_000)).first()[0] if shares else None
+    return sorted(set(found or []))
+
+
+def predict_batch(students, mart, limits=None):
+    """The lookup for many students (student_id, category, branch, gender, score) at once: a row per student and group.
+
+    A range-binned join: groups lie in the score bin of their last cutoff, and a student asks every bin up to that of the
+    score. Category, branch, gender and bin are then equal, and only the top bin needs the comparison. A sought-after branch
+    is spread over its bins on both sides. A student with a NULL in category, branch or score reaches nothing; one without a
+    gender reaches the seats for any.
+    """
+    limits = score_limits(mart) if limits is None else limits
+    edges = F.array(*[F.lit(float(e)) for e in limits]).cast("array<double>")
+    last = fixed.CUTOFF_COLUMNS[-1]
+
+    def bin_of(value):
+        return F.size(F.filter(edges, lambda edge: edge <= value))
+
+    groups = mart.filter(F.col(last).isNotNull()).withColumn("_bin", bin_of(F.col(last)))
+    asked = students.filter(F.col("score").isNotNull()).select(
+        "student_id", F.col("category").alias("clean_category"), F.col("branch").alias("branch_name"),
+        F.col("score").alias("_score"),
+        F.explode(F.array_distinct(F.array("gender", F.lit("ANY")))).alias("seat_gender"),
+    ).withColumn("_bin", F.explode(F.sequence(F.lit(0), bin_of(F.col("_score")))))
+    keys = ["clean_category", "branch_name", "seat_gender", "_bin"]
+    found = asked.join(groups, keys).filter(F.col(last) <= F.col("_score"))
+    return with_outlook(found, F.col("_score")).select("student_id", "seat_gender", *RESULT_COLUMNS)
+
+
+def _metrics():
     first, second, *late = fixed.ROUND_LABELS
     label = F.col("likely_round")
-    return results.agg(
+    return [
         F.count(F.lit(1)).alias("colleges_found"),
         F.count_if(label == first).alias("likely_cap1"),
         F.count_if(label == second).alias("likely_cap2"),
         F.count_if(label.isin(*late)).alias("likely_cap3_or_4"),
-    )
+    ]
+
+
+def result_metrics(results):
+    """How many groups were found, and how many are likely in each round (the last two together)."""
+    return results.agg(*_metrics())
+
+
+def metrics_by_student(results):
+    """The same per student of a batch, with the highest first-round cutoff in reach and the nearest one."""
+    first = F.col(fixed.CUTOFF_COLUMNS[0])
+    return results.groupBy("student_id").agg(
+        *_metrics(), F.max(first).alias("highest_cutoff"), F.min(F.abs("score_gap")).alias("least_gap"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cutline.functions import text
-from cutline.operators import cleaning, lookup, marts, privacy, quality, reports
+from cutline.operators import cleaning, lookup, marts, movement, privacy, quality, reports
 from cutline.plans import layers
 from cutline.plans.catalog_files import DOCUMENTS, FILES, INCREMENTAL, STUDENT
 from cutline.session import scratch_dir
@@ -40,6 +40,19 @@ def _app(spark, sf_dir):
     return lookup.app_results(layers.gold(spark, sf_dir), **STUDENT)
 
 
+def students(spark, sf_dir):
+    """Every allotment row asks what its candidate could have reached elsewhere."""
+    return layers.silver(spark, sf_dir).select(
+        F.concat_ws(":", "application_id", "cap_round", "institute_code", "merit_no").alias("student_id"),
+        F.col("clean_category").alias("category"), F.col("branch_name").alias("branch"), "gender",
+        F.col("mhtcet_score").alias("score"),
+    )
+
+
+def _moves(spark, sf_dir):
+    return movement.candidate_moves(layers.silver(spark, sf_dir), layers.facts(spark, sf_dir))
+
+
 CLEAN = {
     "valid_rows": lambda spark, d: cleaning.valid_rows(layers.bronze(spark, d)).select(
         "cap_round", "institute_code", "branch_name", "application_id", "mhtcet_score",
@@ -63,6 +76,10 @@ MARTS = {
     ),
     "app_results": _app,
     "display_results": lambda spark, d: lookup.display_results(_app(spark, d)),
+    "lookup_batch": lambda spark, d: lookup.metrics_by_student(
+        lookup.predict_batch(students(spark, d), layers.gold(spark, d))),
+    "candidate_moves": _moves,
+    "candidate_move_totals": lambda spark, d: movement.move_totals(_moves(spark, d)),
     "result_metrics": lambda spark, d: lookup.result_metrics(_app(spark, d)),
     "mart_main": lambda spark, d: _joined_pools(marts.main_mart(layers.silver(spark, d))),
     "mart_by_pool": lambda spark, d: marts.pool_mart(layers.silver(spark, d)),

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from cutline import fixed_values as fixed
 from cutline.operators import cleaning, conversion, documents, lookup
-from cutline.plans import conversion_job, layers
+from cutline.plans import conversion_job, layers, pipeline, pipeline_tables
 from cutline.plans.allotments import table
 from cutline.session import scratch_dir
-from cutline.sources import csv_tree, exports, ledger, logs, tables
+from cutline.sources import csv_tree, exports, ledger, line_store, logs, published, tables
 from cutline.sources.documents import lines_of_texts, list_documents, read_document_lines
 from cutline.streaming import ingest
 
@@ -144,7 +144,72 @@ def _delete_by_file(spark, d):
     return tables.read_table(spark, f"{space}.bronze").groupBy("_source_file").agg(_n().alias("rows"))
 
 
+def _delete_touched_rounds(spark, d):
+    """One institute's file of the second round and the whole fifth round deleted: rows left, and which folders were rewritten."""
+    path = f"{scratch_dir(spark, 'touched')}/bronze"
+    layers.bronze(spark, d).write.partitionBy("cap_round").parquet(path)
+
+    def files():
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+        return found.select(F.regexp_extract("path", "cap_round=([^/]+)/", 1).alias("cap_round"), "path", "modificationTime")
+
+    before = scratch_dir(spark, "files-before")
+    files().write.parquet(before)
+    gone = F.col("_source_file").like("CAP-II/00003%") | F.col("_source_file").like("CAP-V/%")
+    tables.delete_touched(spark, path, gone, "cap_round")
+    kept = files().join(spark.read.parquet(before), ["cap_round", "path", "modificationTime"], "left_semi")
+    same = kept.groupBy("cap_round").agg(_n().alias("same"))
+    rows = spark.read.schema(layers.bronze(spark, d).schema).parquet(path).groupBy("cap_round").agg(
+        _n().alias("rows"), F.countDistinct("_source_file").alias("files"))
+    return rows.join(same, "cap_round", "left").select("cap_round", "rows", "files", F.col("same").isNull().alias("rewritten"))
+
+
+def _published_layers(spark, d):
+    """Rows per layer as readers see them: after a first run, after a rebuild that broke before its switch, after a second run."""
+    base = scratch_dir(spark, "published")
+    book, names = f"{base}/run_ledger", ("bronze", "silver", "facts", "gold_main", "gold_pool")
+    whole = layers.bronze(spark, d)
+    seen = []
+
+    def build(run_id, rows, switch):
+        new = published.new_run(base, names, run_id)
+        counts = {"bronze": tables.write_path(rows, new["bronze"])}
+        counts.update(pipeline.build_layers(spark, spark.read.parquet(new["bronze"]), new))
+        if switch:
+            published.publish(spark, book, run_id, [(layer, "overwrite", n, new[layer]) for layer, n in counts.items()])
+        for layer, at in published.current(spark, base, book).items():
+            seen.append(spark.read.parquet(at).select(F.lit(run_id).alias("after"), F.lit(layer).alias("layer")).groupBy(
+                "after", "layer").agg(_n().alias("rows")))
+
+    build("run-1", whole.filter("cap_round <> 'CAP-IV' OR institute_code < '00010'"), True)
+    build("broken", whole, False)
+    build("run-2", whole, True)
+    out = seen[0]
+    for part in seen[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _pipeline_tables(spark, d):
+    """The chain over a CSV tree into named tables; rows of each, and how many candidates the readers' view shows unmasked."""
+    base, name = scratch_dir(spark, "chain"), uuid.uuid4().hex[:12]
+    source = _csv_tree(spark, d, "chain-source")
+    private, readers = f"cutline_own_{name}", f"cutline_open_{name}"
+    shown = pipeline_tables.run_tables(spark, source, f"{base}/lake", "run-1", private, readers)
+    out = None
+    for layer in (*[f"{private}.{n}" for n in ("bronze", "facts")], *shown):
+        rows = spark.table(layer)
+        clear = F.count_if(F.col("candidate_name") != fixed.MASK_TEXT) if "candidate_name" in rows.columns else F.lit(None)
+        part = rows.agg(_n().alias("rows"), clear.cast("bigint").alias("unmasked")).select(
+            F.lit(layer.split(".")[0].split("_")[1]).alias("space"), F.lit(layer.split(".")[1]).alias("layer"), "rows", "unmasked")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 FILES = {
+    "delete_touched_rounds": _delete_touched_rounds,
+    "published_layers": _published_layers,
+    "pipeline_tables": _pipeline_tables,
     "csv_roundtrip": _csv_roundtrip,
     "provenance": _provenance,
     "overwrite_twice": _overwrite_twice,
@@ -250,6 +315,49 @@ def _schema_discovered(spark, d):
     ).withColumn("schema_version", F.lit(version))
 
 
+def _ingest_rejects(spark, d):
+    """Errors arrive under unknown names, views with a name twice; both are rejected with their lines, the rest is loaded."""
+    base = scratch_dir(spark, "rejects")
+    events = table(spark, d, "events").select("event_id", "user_id", "event_type", "value", "props")
+    kind = F.coalesce("event_type", F.lit(""))
+    strange = events.toDF(*[f"unknown_{name}" for name in events.columns])
+    # Blanks round a name do not count, so this header names event_id twice.
+    repeated = events.select("event_id", F.col("user_id").alias("event_id "), "event_type", "value", "props")
+    _deliver(events.filter(~kind.isin(LATE_TYPE, "view")), f"{base}/source/good")
+    _deliver(strange.filter(F.col("unknown_event_type") == LATE_TYPE), f"{base}/source/strange")
+    _deliver(repeated.filter(F.col("event_type") == "view"), f"{base}/source/repeated")
+    for batch in ("run-1", "run-2"):
+        ingest.ingest_new_files(
+            spark, f"{base}/source", f"{base}/bronze", f"{base}/checkpoint", batch, EVENT_SCHEMA, schema_location=f"{base}/schema")
+    loaded = ingest.read_ingested(spark, f"{base}/bronze", f"{base}/schema")
+    rejected = ingest.read_rejects(spark, f"{base}/bronze").filter(~F.col("text").contains("event_type"))
+    return loaded.groupBy(F.lit("loaded").alias("outcome"), F.col("event_type").alias("what"), "_batch_id").agg(
+        _n().alias("rows"), F.sum("event_id").alias("ids")
+    ).unionByName(rejected.groupBy(F.lit("rejected").alias("outcome"), F.col("reason").alias("what"), "_batch_id").agg(
+        _n().alias("rows"), F.sum(F.split("text", ",")[0].try_cast("bigint")).alias("ids")))
+
+
+def _schema_widened_types(spark, d):
+    """Whole numbers first, then fractions and longer ids under names in capitals: one column each, as wide as both need."""
+    base = scratch_dir(spark, "widened")
+    first, late = _arrivals(spark, d)
+    whole = first.select(F.col("event_id").cast("int"), "event_type", F.floor("value").cast("int").alias("value"))
+    for batch, rows, schema in (
+        ("run-1", whole, "event_id int, event_type string, value int"),
+        ("run-2", late.select("value", "event_type", "event_id").toDF("VALUE", "Event_Type", "event_ID"),
+         "event_id bigint, event_type string, value double"),
+    ):
+        _deliver(rows, f"{base}/source/{batch}")
+        ingest.ingest_new_files(
+            spark, f"{base}/source", f"{base}/bronze", f"{base}/checkpoint", batch, schema, schema_location=f"{base}/schema")
+    known, version = ingest.read_snapshot(spark, f"{base}/schema")
+    rows = ingest.read_ingested(spark, f"{base}/bronze", f"{base}/schema")
+    return rows.groupBy("event_type").agg(
+        _n().alias("rows"), F.sum("event_id").alias("ids"), F.round(F.sum("value"), 2).alias("total"),
+        F.count(ingest.MALFORMED).alias("malformed"),
+    ).withColumns({"types": F.lit(known.simpleString()), "schema_version": F.lit(version)})
+
+
 def _delete_streamed_file(spark, d):
     """Two deliveries, the files of the second one deleted; a third run brings nothing back."""
     base = scratch_dir(spark, "forgotten")
@@ -276,6 +384,8 @@ INCREMENTAL = {
     "schema_widening": _schema_widening,
     "incremental_reordered_columns": _incremental_reordered_columns,
     "schema_discovered": _schema_discovered,
+    "schema_widened_types": _schema_widened_types,
+    "ingest_rejects": _ingest_rejects,
     "delete_streamed_file": _delete_streamed_file,
     "run_rows": _run_rows,
 }
@@ -341,6 +451,79 @@ def _convert_tree(spark, d):
     return found.join(logged, "cap_round").join(share, "cap_round")
 
 
+def _documents_by_round(spark, d, label):
+    """The rendered lists as one document per round in two year folders; returns a function that delivers some rounds."""
+    base = scratch_dir(spark, label)
+    lines = layers.lines(spark, d).withColumn("folder", F.col("cap_round"))
+
+    def deliver(rounds):
+        chosen = lines.filter(F.col("folder").isin(*rounds)).withColumn("year", F.explode(F.array(F.lit("2024"), F.lit("2025"))))
+        chosen.repartition("year", "folder").sortWithinPartitions("year", "folder", "file", "seg", "pos").select(
+            "year", "folder", "line").write.mode("append").partitionBy("year", "folder").text(f"{base}/documents")
+
+    return base, deliver
+
+
+ROUNDS = ("CAP-I", "CAP-II", "CAP-III", "CAP-IV", "CAP-V")
+
+
+def _round_of(column):
+    return F.regexp_replace(column, "^folder=", "").alias("cap_round")
+
+
+def _convert_pending_only(spark, d):
+    """The second round's documents come late. The second run stages and parses them alone; a third one finds nothing to do."""
+    base, deliver = _documents_by_round(spark, d, "pending")
+    job = (spark, f"{base}/documents", f"{base}/csv", f"{base}/log")
+    deliver([r for r in ROUNDS if r != "CAP-II"])
+    first = conversion_job.convert(*job, store=f"{base}/lines")
+    deliver(["CAP-II"])
+    second = conversion_job.convert(*job, store=f"{base}/lines")
+    third = conversion_job.convert(*job, store=f"{base}/lines")
+    runs = [out.select(F.lit(n).alias("run"), _round_of("round"), "rows") for n, out in enumerate((first, second, third), 1)]
+    logged = runs[0].unionByName(runs[1]).unionByName(runs[2]).groupBy("run", "cap_round").agg(
+        _n().alias("documents"), F.sum("rows").alias("rows"))
+    staged = line_store.staged_documents(spark, f"{base}/lines").groupBy(
+        _round_of(F.regexp_extract("document", "(folder=[^/]+)/", 1))).agg(_n().alias("staged"))
+    return logged.join(staged, "cap_round")
+
+
+def _convert_retry(spark, d):
+    """A later run of the log has the second round's documents as failed; the retry parses them again from the store."""
+    base, deliver = _documents_by_round(spark, d, "retry")
+    deliver(ROUNDS)
+    job = (spark, f"{base}/documents", f"{base}/csv", f"{base}/log")
+    outcomes = conversion_job.convert(*job, store=f"{base}/lines")
+    lost = outcomes.filter(F.col("round") == "folder=CAP-II").withColumns({
+        "status": F.lit("failed"), "rows": F.lit(0), "ts": F.lit("9999-01-01"), "error": F.lit("executor lost")})
+    logs.append_log(lost, f"{base}/log")
+    recovered = conversion_job.retry_failed(*job, store=f"{base}/lines")
+    rows = csv_tree.read_csv_tree(spark, f"{base}/csv", "batch-1").groupBy(_round_of("cap_round")).agg(_n().alias("rows"))
+    return rows.select("cap_round", "rows", F.lit(None).cast("bigint").alias("recovered"), F.lit(None).cast("bigint").alias(
+        "still_failing")).unionByName(recovered.select(
+            F.lit(None).cast("string").alias("cap_round"), F.lit(None).cast("bigint").alias("rows"), "recovered", "still_failing"))
+
+
+def _convert_tree_ordered(spark, d):
+    """One document per round, institute and year, converted in order: rows, and a hash over the blocks that a document's rows run through."""
+    base = scratch_dir(spark, "ordered")
+    lines = layers.lines(spark, d).select(
+        F.regexp_extract("file", r"(\d+)\.txt$", 1).alias("institute"), F.col("cap_round").alias("folder"), "seg", "pos", "line",
+        F.explode(F.array(F.lit("2024"), F.lit("2025"))).alias("year"))
+    parts = ("year", "institute", "folder")
+    lines.repartition(*parts).sortWithinPartitions(*parts, "seg", "pos").select(*parts, "line").write.partitionBy(*parts).text(
+        f"{base}/documents")
+    conversion_job.convert(spark, f"{base}/documents", f"{base}/csv", f"{base}/log", ordered=True)
+    rows = exports.read_ordered_tree(spark, f"{base}/csv")
+    block = F.concat_ws(":", F.coalesce("branch_name", F.lit("")), F.lower("is_ews"), F.lower("is_tfws"))
+    own = F.array_sort(F.collect_list(F.struct("seg", "pos", block.alias("block"))))
+    ordered = rows.groupBy("cap_round", "document").agg(own.alias("own"))
+    return ordered.select(
+        _round_of("cap_round"), F.regexp_extract("document", "institute=([^/]+)", 1).alias("institute_code"),
+        F.regexp_extract("document", "year=([^/]+)", 1).alias("year"), F.size("own").cast("bigint").alias("rows"),
+        F.md5(F.array_join(F.transform("own", lambda r: r["block"]), "\n").cast("binary")).alias("in_order"))
+
+
 def _coerce_types(spark, d):
     """Raw text values, some unreadable, to typed ones: '7.0' is 7, a name in a counter is NULL."""
     rows = layers.bronze(spark, d)
@@ -365,9 +548,13 @@ def _all_files(spark, d):
     return rendered.unionByName(texts)
 
 
+def _all_lines(spark, d):
+    return layers.lines(spark, d).unionByName(_text_lines(spark, d))
+
+
 def _all_outcomes(spark, d):
-    lines = layers.lines(spark, d).unionByName(_text_lines(spark, d))
-    return conversion.file_outcomes(_all_files(spark, d), documents.parse_documents(lines))
+    parsed = documents.parse_documents(_all_lines(spark, d), stage=scratch_dir(spark, "classified"))
+    return conversion.file_outcomes(_all_files(spark, d), parsed)
 
 
 def _file_outcomes(spark, d):
@@ -391,14 +578,17 @@ def _retry_queue(spark, d):
 
 
 def _retry_outcome(spark, d):
-    """First attempt: every document of the second round failed. What a second attempt makes of the queue."""
+    """First attempt: every document of the second round failed. What a second attempt makes of the queue alone."""
     lost = F.col("round") == "CAP-II"
-    outcomes = _all_outcomes(spark, d)
-    first = outcomes.withColumns({
+    at, queue_at = scratch_dir(spark, "first-attempt"), scratch_dir(spark, "retry-queue")
+    _all_outcomes(spark, d).withColumns({
         "status": F.when(lost, "failed").otherwise(F.col("status")), "ts": F.lit("2025-07-01"),
-    })
-    queue = conversion.retry_queue(first, _all_files(spark, d), run="ts")
-    return conversion.retry_outcome(queue, outcomes)
+    }).write.parquet(at)
+    conversion.retry_queue(spark.read.parquet(at), _all_files(spark, d), run="ts").write.parquet(queue_at)
+    queue = spark.read.parquet(queue_at).select("file", F.col("round").alias("cap_round"))
+    lines = _all_lines(spark, d).join(queue.select("file"), "file", "left_semi")
+    parsed = documents.parse_documents(lines, stage=scratch_dir(spark, "classified"))
+    return conversion.retry_outcome(queue, conversion.file_outcomes(queue, parsed))
 
 
 def _parse_profile(spark, d):
@@ -411,6 +601,9 @@ DOCUMENTS = {
     "headers_ffill": _headers_ffill,
     "parse_documents": _parsed,
     "convert_tree": _convert_tree,
+    "convert_pending_only": _convert_pending_only,
+    "convert_retry": _convert_retry,
+    "convert_tree_ordered": _convert_tree_ordered,
     "row_flags": lambda spark, d: _parsed(spark, d).groupBy("_validation_warnings", "is_vacant").agg(
         _n().alias("rows")
     ),

@@ -207,6 +207,41 @@ app AS (
 )"""
 
 
+STUDENTS = """,
+students AS (
+  SELECT application_id || ':' || cap_round || ':' || institute_code || ':' || CAST(merit_no AS VARCHAR) AS student_id,
+         clean_category AS category, branch_name AS branch, gender, mhtcet_score AS score FROM silver
+)"""
+
+LIKELY_FOR_STUDENT = LIKELY.replace(f"{SCORE}", "score")
+
+# One seat per candidate and round, and the lowest score that any round took per institute and branch.
+MOVES = """,
+held AS (
+  SELECT application_id, cap_round_num, institute_code, branch_name FROM silver WHERE cap_round_num IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY application_id, cap_round_num
+    ORDER BY mhtcet_score DESC, institute_code DESC, branch_name DESC NULLS LAST) = 1
+),
+standings AS (
+  SELECT institute_code, branch_name, min(mhtcet_score) AS standing FROM silver GROUP BY ALL
+),
+placed AS (
+  SELECT h.*, s.standing, lag(h.cap_round_num) OVER w AS previous_round, lag(h.institute_code) OVER w AS old_institute,
+         lag(h.branch_name) OVER w AS old_branch, lag(s.standing) OVER w AS old_standing,
+         lead(h.cap_round_num) OVER w AS later
+  FROM held h JOIN standings s ON h.institute_code = s.institute_code AND h.branch_name IS NOT DISTINCT FROM s.branch_name
+  WINDOW w AS (PARTITION BY h.application_id ORDER BY h.cap_round_num)
+),
+moves AS (
+  SELECT application_id, cap_round_num, institute_code, branch_name, previous_round,
+         CASE WHEN previous_round IS NULL THEN 'first'
+              WHEN institute_code = old_institute AND branch_name IS NOT DISTINCT FROM old_branch THEN 'same'
+              WHEN standing > old_standing THEN 'better' WHEN standing < old_standing THEN 'worse' ELSE 'level' END AS change,
+         later IS NULL AND cap_round_num < (SELECT max(cap_round_num) FROM silver) AS "left"
+  FROM placed
+)"""
+
+
 def _display(column):
     return f"coalesce(format('{{:.2f}}', {column}), '—')"
 
@@ -319,6 +354,21 @@ def mart_queries():
                       WHEN 'CAP-III' THEN '🟠 CAP-III' WHEN 'CAP-IV' THEN '🔴 CAP-IV'
                       WHEN 'Unlikely' THEN '⚫ Unlikely' END AS "Likely Round",
                  total_seats_filled AS "Seats Filled" FROM app""",
+        "lookup_batch": "WITH " + GOLD + STUDENTS + f""",
+          reached AS (
+            SELECT student_id, cap1_cutoff, {LIKELY_FOR_STUDENT} AS likely_round, round(score - cap1_cutoff, 2) AS score_gap
+            FROM students JOIN gold ON category = clean_category AND branch = branch_name
+             AND (seat_gender = gender OR seat_gender = 'ANY') AND cap4_cutoff <= score
+          )
+          SELECT student_id, count(*) AS colleges_found, count(*) FILTER (WHERE likely_round = 'CAP-I') AS likely_cap1,
+                 count(*) FILTER (WHERE likely_round = 'CAP-II') AS likely_cap2,
+                 count(*) FILTER (WHERE likely_round IN ('CAP-III', 'CAP-IV')) AS likely_cap3_or_4,
+                 max(cap1_cutoff) AS highest_cutoff, min(abs(score_gap)) AS least_gap
+          FROM reached GROUP BY student_id""",
+        "candidate_moves": "WITH " + SILVER + MOVES + " SELECT * FROM moves",
+        "candidate_move_totals": "WITH " + SILVER + MOVES + """
+          SELECT cap_round_num, previous_round, change, count(*) AS candidates, count(*) FILTER (WHERE "left") AS "left"
+          FROM moves GROUP BY ALL""",
         "result_metrics": cut + APP + """
           SELECT count(*) AS colleges_found, count(*) FILTER (WHERE likely_round = 'CAP-I') AS likely_cap1,
                  count(*) FILTER (WHERE likely_round = 'CAP-II') AS likely_cap2,
@@ -534,9 +584,36 @@ log AS (
 )"""
 
 
+def _layer_counts(after, where):
+    """Rows of each published layer over a part of the raw rows."""
+    part = f"(SELECT * FROM silver WHERE {where})"
+    mart = "SELECT 1 FROM {} GROUP BY {} HAVING min(CASE WHEN cap_round_num = 4 THEN mhtcet_score END) IS NOT NULL"
+    main = "institute_code, institute_name, branch_name, clean_category, seat_gender, is_ews, is_tfws"
+    pool = "institute_code, institute_name, branch_name, clean_category, seat_gender, seat_pool"
+    open_pools = f"(SELECT * FROM {part} WHERE seat_pool NOT IN ('AllIndia', 'Minority', 'Orphan'))"
+    counts = {
+        "bronze": f"SELECT 1 FROM allot WHERE {where}", "silver": f"SELECT 1 FROM {part}",
+        "facts": f"SELECT DISTINCT {main}, seat_pool, cap_round_num FROM {part}",
+        "gold_main": mart.format(open_pools, main), "gold_pool": mart.format(part, pool),
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{after}' AS after, '{layer}' AS layer, count(*) AS rows FROM ({rows})" for layer, rows in counts.items())
+
+
 def file_queries():
     cut = "WITH "
+    first = "(cap_round <> 'CAP-IV' OR institute_code < '00010')"
+    whole = _layer_counts("", "true").replace("SELECT '' AS after, ", "SELECT ")
     return {
+        "delete_touched_rounds": cut + ALLOT + """
+          SELECT cap_round, count(*) AS rows, count(DISTINCT _source_file) AS files, cap_round = 'CAP-II' AS rewritten FROM allot
+          WHERE _source_file NOT LIKE 'CAP-II/00003%' AND _source_file NOT LIKE 'CAP-V/%' GROUP BY cap_round""",
+        "published_layers": cut + SILVER + " " + " UNION ALL ".join(
+            [_layer_counts("run-1", first), _layer_counts("broken", first), _layer_counts("run-2", "true")]),
+        "pipeline_tables": cut + SILVER + f""", layers AS ({whole})
+          SELECT CASE WHEN layer IN ('bronze', 'facts') THEN 'own' ELSE 'open' END AS space, layer, rows,
+                 CASE layer WHEN 'bronze' THEN rows WHEN 'silver' THEN 0 END AS unmasked FROM layers
+          UNION ALL SELECT 'open', 'dq_metrics', 13, NULL""",
         "csv_roundtrip": cut + ALLOT + """
           SELECT cap_round, institute_code, institute_name, branch_name, is_ews, is_tfws, sr_no, merit_no, mhtcet_score,
                  application_id, candidate_name, gender, candidate_category, seat_type, is_vacant FROM allot""",
@@ -577,6 +654,16 @@ def file_queries():
         "schema_discovered": """
           SELECT event_type, count(*) AS rows, CAST(sum(user_id) FILTER (WHERE event_type = 'error') AS BIGINT) AS users,
                  CAST(0 AS BIGINT) AS malformed, 1 AS schema_version FROM events GROUP BY event_type""",
+        "schema_widened_types": """
+          SELECT event_type, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS ids,
+                 round(sum(CASE WHEN event_type = 'error' THEN value ELSE floor(value) END), 2) AS total,
+                 CAST(0 AS BIGINT) AS malformed, 'struct<event_id:bigint,event_type:string,value:double>' AS types,
+                 1 AS schema_version FROM events GROUP BY event_type""",
+        "ingest_rejects": """
+          SELECT 'loaded' AS outcome, event_type AS what, 'run-1' AS _batch_id, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS ids
+          FROM events WHERE coalesce(event_type, '') NOT IN ('error', 'view') GROUP BY event_type
+          UNION ALL SELECT 'rejected', CASE event_type WHEN 'error' THEN 'no known column' ELSE 'repeated column name' END, 'run-1',
+                 count(*), CAST(sum(event_id) AS BIGINT) FROM events WHERE event_type IN ('error', 'view') GROUP BY event_type""",
         "delete_streamed_file": """
           SELECT event_type, 'run-1' AS _batch_id, count(*) AS rows FROM events
           WHERE event_type IS DISTINCT FROM 'error' GROUP BY event_type""",
@@ -601,6 +688,17 @@ def document_queries():
           SELECT cap_round, 2 * count(*) AS rows, 2 * count(mhtcet_score) AS scored, CAST(2 AS BIGINT) AS documents,
                  CAST(2 AS BIGINT) AS timed, 2 * count(*) AS logged_rows, 100.0 AS pct
           FROM parsed GROUP BY cap_round""",
+        "convert_pending_only": cut + RENDERED + """
+          SELECT CASE cap_round WHEN 'CAP-II' THEN 2 ELSE 1 END AS run, cap_round, CAST(2 AS BIGINT) AS documents,
+                 2 * count(*) AS rows, CAST(2 AS BIGINT) AS staged FROM parsed GROUP BY cap_round""",
+        "convert_retry": cut + RENDERED + """
+          SELECT cap_round, 2 * count(*) AS rows, CAST(NULL AS BIGINT) AS recovered, CAST(NULL AS BIGINT) AS still_failing
+          FROM parsed GROUP BY cap_round UNION ALL SELECT NULL, NULL, 2, 0""",
+        "convert_tree_ordered": cut + RENDERED + """
+          SELECT cap_round, institute_code, year, count(*) AS rows, md5(string_agg(
+                   branch_name || ':' || CAST(is_ews AS VARCHAR) || ':' || CAST(is_tfws AS VARCHAR), chr(10)
+                   ORDER BY branch_name, CASE WHEN is_ews THEN 1 WHEN is_tfws THEN 2 ELSE 0 END)) AS in_order
+          FROM parsed, (VALUES ('2024'), ('2025')) AS years(year) GROUP BY cap_round, institute_code, year""",
         "row_flags": cut + RENDERED
         + " SELECT _validation_warnings, is_vacant, count(*) AS rows FROM parsed GROUP BY ALL",
         "coerce_types": cut + ALLOT + """

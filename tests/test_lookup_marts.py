@@ -93,3 +93,76 @@ def test_facts_reduce_before_the_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 2
     first = plan[plan.rindex("Exchange hashpartitioning"):]
     assert "partial_min(mhtcet_score" in first
+
+
+def _students(spark, rows):
+    return spark.createDataFrame(rows, "student_id string, category string, branch string, gender string, score double")
+
+
+def test_batch_lookup_like_one_by_one(spark):
+    mart = _mart(spark).unionByName(_mart(spark, "ANY")).unionByName(_mart(spark, "F"))
+    asked = [(f"s{n}", c, b, g, s) for n, (c, b, g, s) in enumerate(
+        (c, b, g, s) for c in ("OBC", "SC", None) for b in ("B", None) for g in ("M", "F", None) for s in (10.0, 77.0, 84.0, 85.5, 99.0, None))]
+    for limits in (None, [], [84.0], [77.0, 84.0, 85.5, 85.6]):
+        batch = lookup.predict_batch(_students(spark, asked), mart, limits)
+        got = sorted(map(str, (tuple(r) for r in batch.select("student_id", *lookup.RESULT_COLUMNS).collect())))
+        want = []
+        for student, category, branch, gender, score in asked:
+            if category and branch and score is not None:
+                found = lookup.predict(mart, category, branch, gender, score) if gender else lookup.predict(mart, category, branch, "ANY", score)
+                want += [str((student, *r)) for r in found.collect()]
+        assert got == sorted(want)
+
+
+def test_batch_lookup_spreads_a_hot_branch_over_bins(spark):
+    rows = [(f"I{i}", "HOT" if i % 3 else "B", "OBC", "M", 50.0, 40.0, 30.0, float(i % 100), 1) for i in range(3000)]
+    mart = spark.createDataFrame(rows, MART)
+    limits = lookup.score_limits(mart)
+    assert 10 <= len(limits) <= lookup.SCORE_BINS - 1
+    asked = _students(spark, [("a", "OBC", "HOT", "M", 99.5), ("b", "OBC", "HOT", "F", 99.5), ("c", "OBC", "B", "M", 10.0)])
+    found = lookup.predict_batch(asked, mart)
+    assert {r.student_id: r["count"] for r in found.groupBy("student_id").count().collect()} == {
+        "a": sum(r[1] == "HOT" for r in rows), "c": sum(r[1] == "B" and r[7] <= 10 for r in rows)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lookup.predict_batch(asked, mart)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    largest = mart.filter("branch_name = 'HOT'").groupBy(
+        F.size(F.filter(F.array(*[F.lit(e) for e in limits]), lambda e: e <= F.col("cap4_cutoff")))).count().agg(F.max("count")).first()[0]
+    assert largest < 2000 / 8
+    assert lookup.score_limits(mart.limit(0)) == [] and lookup.predict_batch(asked, mart.limit(0)).count() == 0
+
+
+def test_candidate_moves(spark):
+    from cutline.operators import movement
+
+    columns = "application_id string, cap_round_num int, institute_code string, branch_name string, mhtcet_score double"
+    silver = spark.createDataFrame([
+        ("E1", 1, "01", "A", 50.0), ("E1", 2, "02", "A", 50.0), ("E1", 3, "02", "A", 50.0), ("E1", 4, "01", "A", 50.0),
+        ("E2", 1, "02", "A", 60.0), ("E2", 1, "01", "A", 40.0), ("E2", 3, "03", None, 60.0), ("E3", 4, "04", "B", 60.0),
+        ("E3", None, "01", "A", 99.0), ("E4", 1, "04", "B", 80.0), ("E4", 2, "03", None, 80.0),
+    ], columns)
+    facts = marts.seat_facts(silver, ("institute_code", "branch_name"))
+    got = {(r.application_id, r.cap_round_num): (r.previous_round, r.change, r.left) for r in movement.candidate_moves(silver, facts).collect()}
+    assert got == {
+        ("E1", 1): (None, "first", False), ("E1", 2): (1, "better", False), ("E1", 3): (2, "same", False), ("E1", 4): (3, "worse", False),
+        ("E2", 1): (None, "first", False), ("E2", 3): (1, "better", True), ("E3", 4): (None, "first", False),
+        ("E4", 1): (None, "first", False), ("E4", 2): (1, "level", True)}
+    totals = movement.move_totals(movement.candidate_moves(silver, facts))
+    assert "application_id" not in totals.columns
+    assert sum(r.candidates for r in totals.collect()) == 9 and sum(r.left for r in totals.collect()) == 2
+
+
+def test_moves_reduce_hot_candidates_before_the_window(spark):
+    from cutline.operators import movement
+
+    rows = spark.range(5000).selectExpr(
+        "if(id % 3 = 0, 'HOT', concat('E', id)) as application_id", "cast(id % 4 + 1 as int) as cap_round_num",
+        "cast(id % 7 as string) as institute_code", "'B' as branch_name", "cast(id as double) as mhtcet_score")
+    facts = marts.seat_facts(rows, ("institute_code", "branch_name"))
+    moves = movement.candidate_moves(rows, facts)
+    assert moves.filter("application_id = 'HOT'").count() == 4
+    plan = moves._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Window") < plan.index("partial_max(struct")
