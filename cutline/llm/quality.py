@@ -1,10 +1,11 @@
 """Quality classifier: weak labels from overlapping heuristics, and a hashed linear scorer trained on them.
 
-1. Eight overlapping heuristic labellers read each whole text and vote good, bad or nothing.
+1. Eight overlapping heuristic labellers read each whole text and vote good, bad or undecided; one that a text gives
+   no evidence (too few words or lines for it) has no vote, and says nothing about the text.
 2. Expectation-maximisation estimates from the votes of all documents how often each labeller votes what on
-   good and on bad documents, and how frequent good ones are; a prior with the weight of the data keeps
-   the classes what they are named. It runs on the number of documents per vote pattern, of which there
-   are at most 3 ** 8 whatever the size of the corpus. No true label is used.
+   good and on bad documents, and how frequent good ones are. A prior of `PRIOR` documents a class keeps the classes what
+   they are named and rules no vote out; its weight fades as documents come in. It runs on the number of documents per vote pattern, of which there
+   are at most 4 ** 8 whatever the size of the corpus. No true label is used.
 3. The posterior of each pattern labels a bounded sample of pieces (at most `per_pattern` of `PIECE` bytes for
    each pattern, chosen by hash), weighted by the pattern's documents. They train a linear scorer over
    hashed byte n-grams and the labellers' measures in steps.
@@ -24,9 +25,12 @@ from pyspark.sql import functions as F
 
 from cutline.llm.common import documents, ship, text_slices
 
-LABELLERS = ("symbols", "capitals", "trigrams", "doubled", "letters", "lone_signs", "lines", "variety")
+LABELLERS = ("symbols", "capitals", "trigrams", "doubled", "letters", "lone_signs", "lines", "lengths")
+LONGEST = 30  # letters in a word, for the measure of lengths
+PRIOR = 20
 PIECE, BUCKETS, SIZES, STEPS, SHRINK = 1500, 1 << 18, (1, 3, 4), 12, 60
-GOOD, BAD, NONE = 1, 0, 2
+GOOD, BAD, NONE, MISSING = 1, 0, 2, 3
+PLACES = 4  # kinds of votes, the base of a pattern's number
 
 
 def features(data, offsets):
@@ -62,49 +66,67 @@ def features(data, offsets):
         out[:, 0] = symbols / bytes_
         out[:, 1] = np.where(upper + lower >= 8, upper / (upper + lower), np.nan)
         out[:, 3] = np.where(counts >= 6, (same[at[1:]] - same[np.minimum(at[:-1] + 1, len(same) - 1)]) / (counts - 1), np.nan)
-        out[:, 4] = np.where(counts >= 3, total(kinds >= 2) / (bytes_ - total(blank)), np.nan)
-        out[:, 5] = np.where(counts >= 3, np.diff(lone[at]) / counts, np.nan)
+        out[:, 4] = np.where(counts >= 10, total(kinds >= 2) / (bytes_ - total(blank)), np.nan)
+        out[:, 5] = np.where(counts >= 10, np.diff(lone[at]) / counts, np.nan)
     for row in np.flatnonzero(counts >= 10):
         own = triples[at[row]:at[row + 1] - 2]
         out[row, 2] = len(np.unique(own)) / len(own)
         lines = data[offsets[row]:offsets[row + 1]].tobytes().split(b"\n")
         if len(lines) >= 4:
             out[row, 6] = len(set(lines)) / len(lines)
-    out[:, 7] = out[:, 2] - np.nan_to_num(out[:, 3])
+    with np.errstate(invalid="ignore", divide="ignore"):
+        out[:, 7] = np.where(counts >= 10, np.minimum(total(kinds >= 2) / np.maximum(counts, 1) / LONGEST, 1), np.nan)
     return out, counts
 
 
 def votes(measures):
-    """GOOD, BAD or NONE per text and labeller."""
+    """GOOD, BAD, NONE (undecided) or MISSING (no evidence) per text and labeller."""
     import numpy as np
 
-    symbols, capitals, trigrams, doubled, letters, lone, lines, variety = measures.T
+    symbols, capitals, trigrams, doubled, letters, lone, lines, lengths = measures.T
     never = np.zeros(len(measures), bool)
     with np.errstate(invalid="ignore"):
         rules = [
             (symbols > 0.05, never), (capitals > 0.4, never), (trigrams < 0.7, never), (doubled > 0.25, never),
-            (letters < 0.75, letters > 0.93), (lone > 0.15, never), (lines < 0.6, never), (never, variety > 0.85),
+            (letters < 0.75, letters > 0.93), (lone > 0.15, never), (lines < 0.6, never),
+            (lengths < 1 / LONGEST, (lengths > 2.5 / LONGEST) & (lengths < 12 / LONGEST)),
         ]
-    return np.stack([np.where(bad, BAD, np.where(good, GOOD, NONE)) for bad, good in rules], 1)
+    cast = np.stack([np.where(bad, BAD, np.where(good, GOOD, NONE)) for bad, good in rules], 1)
+    return np.where(np.isnan(measures), MISSING, cast)
+
+
+def pattern_numbers(measures):
+    import numpy as np
 
+    return votes(measures) @ (PLACES ** np.arange(len(LABELLERS)))
 
-def estimate(patterns, counts, rounds=100):
-    """(posterior of good per pattern, vote probabilities by class, share of good) by expectation-maximisation."""
+
+def estimate(patterns, counts, rounds=500, prior=PRIOR):
+    """(posterior of good per pattern, vote probabilities by class, share of good) by expectation-maximisation.
+
+    The prior counts as `prior` documents a class, whatever the number of documents. Rounds end when nothing moves any more.
+    """
     import numpy as np
 
     labellers = patterns.shape[1]
-    prior = np.tile(np.array([[0.4, 0.2, 0.4], [0.01, 0.49, 0.5]]).T[None], (labellers, 1, 1))  # vote, class bad/good
-    odds, share = prior.copy(), 0.7
+    start = np.tile(np.array([[0.4, 0.2, 0.4], [0.01, 0.49, 0.5]]).T[None], (labellers, 1, 1))  # vote, class bad/good
+    odds, share = start.copy(), 0.7
     for _ in range(rounds):
-        log = np.log([1 - share, share]) + sum(np.log(odds[i][patterns[:, i]]) for i in range(labellers))
+        known = np.concatenate((np.log(odds), np.zeros((labellers, 1, 2))), 1)  # a missing vote tells nothing
+        log = np.log([1 - share, share]) + sum(known[i][patterns[:, i]] for i in range(labellers))
         log -= log.max(1, keepdims=True)
         post = np.exp(log)
         post /= post.sum(1, keepdims=True)
         weight = post * counts[:, None]
-        share = float(np.clip(weight[:, 1].sum() / weight.sum(), 0.01, 0.99))
+        before, share = share, float(np.clip((weight[:, 1].sum() + 0.7 * prior) / (weight.sum() + prior), 0.01, 0.99))
+        moved = abs(share - before)
         for i in range(labellers):
-            tally = np.stack([weight[patterns[:, i] == v].sum(0) for v in range(3)]) 
-            odds[i] = (tally / np.maximum(tally.sum(0), 1e-9) + prior[i]) / 2
+            tally = np.stack([weight[patterns[:, i] == v].sum(0) for v in range(3)]) + prior * start[i]
+            new = tally / tally.sum(0)
+            moved = max(moved, float(np.abs(new - odds[i]).max()))
+            odds[i] = new
+        if moved < 1e-9:
+            break
     return post[:, 1], odds, share
 
 
@@ -172,7 +194,7 @@ def score_slice(w, bias, data, offsets, measured=None):
 
 
 def _patterns(docs, per_pattern):
-    """(pattern, documents, pieces) over all documents: at most 3 ** 8 patterns of at most per_pattern pieces."""
+    """(pattern, documents, pieces) over all documents: at most 4 ** 8 patterns of at most per_pattern pieces."""
     ship(docs.sparkSession)
 
     def run(batches):
@@ -182,7 +204,7 @@ def _patterns(docs, per_pattern):
             order = batch.column(1).to_numpy()
             for first, last, data, offsets in text_slices(batch.column(0)):
                 measures, counts = features(data, offsets)
-                codes = votes(measures) @ (3 ** np.arange(len(LABELLERS)))
+                codes = pattern_numbers(measures)
                 size = np.diff(offsets)
                 start = offsets[:-1] + order[first:last] % np.maximum(size - PIECE + 1, 1)
                 pieces = [data[a:min(a + PIECE, b)].tobytes() for a, b in zip(start, offsets[1:])]
@@ -216,14 +238,14 @@ def totals(docs, w, bias, posterior):
         import numpy as np
 
         w, bias, posterior = pickle.loads(shared.value)
-        units = np.zeros(3 ** len(LABELLERS), np.int64)
+        units = np.zeros(PLACES ** len(LABELLERS), np.int64)
         units[list(posterior)] = np.rint(np.array(list(posterior.values())) * (1 << 20))
         bins = edges()
         sums = np.zeros(len(bins), np.int64)
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column(0)):
                 measures, counts = features(data, offsets)
-                own = units[votes(measures) @ (3 ** np.arange(len(LABELLERS)))][counts > 0]
+                own = units[pattern_numbers(measures)][counts > 0]
                 scores = score_slice(w, bias, data, offsets, (measures, counts))[counts > 0]
                 np.add.at(sums, np.searchsorted(bins, scores, "right") - 1, own)
         at = np.flatnonzero(sums)
@@ -243,7 +265,7 @@ def threshold_of(weights, keep, most):
     return most
 
 
-def fit(docs, per_pattern=64, keep=0.995, most=0.35):
+def fit(docs, per_pattern=64, keep=0.999, most=0.35):
     """A dict with the scorer's weights, its threshold, and the labellers' estimated accuracies; None without words."""
     import numpy as np
 
@@ -253,7 +275,7 @@ def fit(docs, per_pattern=64, keep=0.995, most=0.35):
     rows.sort(key=lambda r: (r["pattern"], r["place"]))
     codes, at = np.unique([r["pattern"] for r in rows], return_inverse=True)
     documents_ = np.array([r["documents"] for r in rows], float)
-    patterns = codes[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
+    patterns = codes[:, None] // PLACES ** np.arange(len(LABELLERS)) % PLACES
     posterior, odds, share = estimate(patterns, np.bincount(at, documents_))
     labels, pieces = posterior[at], [bytes(r["piece"]) for r in rows]
     w, bias = train(pieces, labels, documents_, share)

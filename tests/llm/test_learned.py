@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cutline.llm import catalog, convnet, language_id, quality, secret_scan
@@ -195,6 +196,64 @@ def test_doubtful_networks_keep_the_recall(spark, monkeypatch):
     assert threshold == net.predict(np.zeros((1, 64), np.uint8))[0, 1] == 0.5
 
 
+def simulated(number, seed=3):
+    """Votes of labellers with known accuracies on documents of known class, as patterns and counts."""
+    rng = np.random.default_rng(seed)
+    bad_on_bad, bad_on_good, good_on_good = (0.95, 0.6, 0.8, 0.3), (0.01, 0.02, 0.05, 0.002), (0.9, 0.5, 0.2, 0.7)
+    truth = rng.random(number) < 0.85
+    columns = []
+    for high, low, good in zip(bad_on_bad, bad_on_good, good_on_good):
+        draw = rng.random(number)
+        bad = draw < np.where(truth, low, high)
+        columns.append(np.where(bad, quality.BAD, np.where(truth & (draw > 1 - good), quality.GOOD, quality.NONE)))
+    patterns, counts = np.unique(np.stack(columns, 1), axis=0, return_counts=True)
+    shares = [[[(columns[i][truth == c] == v).mean() for c in (False, True)] for v in range(3)] for i in range(4)]
+    return patterns, counts, np.array(shares), truth.mean()
+
+
+@pytest.mark.parametrize("number", [20_000, 2_000_000])
+def test_quality_estimates_every_accuracy(number):
+    patterns, counts, want, good = simulated(number)
+    _, odds, share = quality.estimate(patterns, counts)
+    assert np.abs(odds - want).max() < 0.02 and abs(share - good) < 0.02
+
+
+def test_quality_missing_votes_tell_nothing():
+    patterns, counts, want, good = simulated(20_000)
+    patterns = np.concatenate((patterns, np.full((1, 4), quality.MISSING)))
+    post, odds, share = quality.estimate(patterns, np.append(counts, 7000))
+    assert np.abs(odds - want).max() < 0.02 and abs(share - good) < 0.02 and abs(post[-1] - share) < 1e-6
+    few = quality.votes(quality.features(np.frombuffer(b"Rehe. To onea.", np.uint8), np.array([0, 14]))[0])[0]
+    assert (few == quality.MISSING).sum() == 6 and few[0] == quality.NONE
+
+
+def test_quality_estimate_like_plain_loops():
+    """Expectation-maximisation document by document and vote by vote, with the prior as so many documents more."""
+    patterns, counts, _, _ = simulated(300, seed=9)
+    votes = [tuple(p) for p, n in zip(patterns.tolist(), counts) for _ in range(n)]
+    start = {c: {quality.BAD: (0.4, 0.01)[c], quality.GOOD: (0.2, 0.49)[c], quality.NONE: (0.4, 0.5)[c]} for c in (0, 1)}
+    odds = [[dict(start[c]) for c in (0, 1)] for _ in range(4)]
+    share = 0.7
+    for _ in range(500):
+        good = []
+        for own in votes:
+            like = [1 - share, share]
+            for i, vote in enumerate(own):
+                like = [like[c] * odds[i][c][vote] for c in (0, 1)]
+            good.append(like[1] / sum(like))
+        share = (sum(good) + 0.7 * quality.PRIOR) / (len(votes) + quality.PRIOR)
+        for i in range(4):
+            for c in (0, 1):
+                weight = {v: quality.PRIOR * start[c][v] for v in range(3)}
+                for own, p in zip(votes, good):
+                    weight[own[i]] += p if c else 1 - p
+                odds[i][c] = {v: w / sum(weight.values()) for v, w in weight.items()}
+    post, found, got = quality.estimate(patterns, counts)
+    assert abs(got - share) < 1e-6
+    assert all(abs(found[i][v, c] - odds[i][c][v]) < 1e-6 for i in range(4) for v in range(3) for c in (0, 1))
+    assert np.allclose(np.repeat(post, counts), good, atol=1e-6)
+
+
 def test_quality_threshold_covers_all_texts(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randrange(2, 9)))
@@ -204,7 +263,7 @@ def test_quality_threshold_covers_all_texts(spark):
     w = np.zeros(quality.BUCKETS + len(quality.LABELLERS) * quality.STEPS, np.float32)
     w[:quality.BUCKETS] = np.random.default_rng(1).normal(0, 3, quality.BUCKETS)
     data = [np.frombuffer(t.encode(), np.uint8) for _, t, _ in rows]
-    codes = [int((quality.votes(quality.features(d, np.array([0, len(d)]))[0]) @ (3 ** np.arange(8)))[0]) for d in data]
+    codes = [int(quality.pattern_numbers(quality.features(d, np.array([0, len(d)]))[0])[0]) for d in data]
     posterior = {c: 1.0 if (i < 600) else 0.0 for (i, _, _), c in zip(rows, codes)}
     weights = quality.totals(docs, w, 0.0, posterior)
     least = quality.threshold_of(weights, 0.98, 1.0)
