@@ -197,6 +197,7 @@ def _measured(pairs, texts, words):
 
 def _sizes_allow(x, y, share):
     """The smaller set is at least the threshold's share of the larger one."""
+    x, y = x.cast("long"), y.cast("long")
     return F.least(x, y) * share[1] >= F.greatest(x, y) * share[0]
 
 
@@ -206,8 +207,10 @@ def _least_shared(x, y, share):
     All shared shingles up to the end of the prefix that ends first lead both documents; behind it at most the
     rest of that document can be shared.
     """
+    x, y = x.cast("long"), y.cast("long")
+
     def rest(n):
-        return F.greatest(F.lit(0), F.ceil(n * share[0] / share[1] - 1e-9) - 1 - F.floor(n / 16))
+        return F.greatest(F.lit(0).cast("long"), F.ceil(n * share[0] / share[1] - 1e-9) - 1 - F.floor(n / 16))
 
     need = F.ceil((x + y) * share[0] / (share[0] + share[1]) - 1e-9)
     return F.greatest(need - F.greatest(rest(x), rest(y)), F.lit(1))
@@ -221,11 +224,11 @@ def _may_link(x, y, share):
     first shared one has enough of them left in both documents. Shared shingles before any other are among the
     `met` ones of both; behind it at most the lesser rest can be shared.
     """
-    least = _least_shared(x["n"], y["n"], share)
+    least, sizes = _least_shared(x["n"], y["n"], share), x["n"].cast("long") + y["n"]
     left = (x["met"] + least <= x["all"]) & (y["met"] + least <= y["all"])
     meet = F.least(x["met"], y["met"]) + F.least(x["all"] - x["met"], y["all"] - y["met"])
     most = F.least(x["met"], y["met"]) + F.least(x["n"] - x["at"], y["n"] - y["at"])
-    room = most * (share[0] + share[1]) >= (x["n"] + y["n"]) * share[0]
+    room = most.cast("long") * (share[0] + share[1]) >= sizes * share[0]
     return _sizes_allow(x["n"], y["n"], share) & left & (meet >= least) & room
 
 
@@ -315,7 +318,7 @@ def jaccard_classes(docs, words=5, share=(80, 100), common=32):
     met = rows.join(shared, "key").withColumns({
         "met": F.row_number().over(own.orderBy("at")) - 1, "all": F.count(F.lit(1)).over(own).cast("int")})
     # A linked document shares at least as many leading shingles as `_shared` asks of the smaller one.
-    able = met.filter(F.col("all") >= F.floor(F.col("n") * share[0] / share[1] / 16))
+    able = met.filter(F.col("all") >= F.floor(F.col("n").cast("long") * share[0] / share[1] / 16))
     members = stored(able.select("key", F.struct("at", "doc", "n", "met", "all").alias("x")), f"{root}/able")
     members = stored(
         _with_pivots(members.withColumns({"part": F.col("x.doc"), "was": F.lit(None).cast("long")})), f"{root}/members0")

@@ -97,3 +97,18 @@ def test_components(spark, edges):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     df = components.components(spark.createDataFrame(edges, "a long, b long"))
     assert sorted(map(tuple, df.collect())) == sorted((x, sets.find(x)) for x in linked)
+
+
+def test_sizes_of_very_long_texts_do_not_overflow(spark):
+    from pyspark.sql import functions as F
+
+    member = "struct<at:int,doc:long,n:int,met:int,all:int>"
+    rows = spark.createDataFrame([
+        ((0, 1, 30_000_000, 0, 9_000_000), (0, 2, 30_000_000, 0, 9_000_000)),
+        ((0, 1, 30_000_000, 0, 9_000_000), (0, 2, 20_000_000, 0, 9_000_000)),
+        ((0, 1, 2_000_000_000, 5, 9_000_000), (3, 2, 2_000_000_000, 5, 9_000_000)),
+    ], f"x {member}, y {member}")
+    found = rows.select(
+        jaccard_join._may_link(F.col("x"), F.col("y"), (85, 100)).alias("may"),
+        jaccard_join._least_shared(F.col("x.n"), F.col("y.n"), (85, 100)).alias("least")).collect()
+    assert [r["may"] for r in found][:2] == [True, False] and all(r["least"] > 0 for r in found)
