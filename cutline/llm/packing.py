@@ -3,8 +3,9 @@
 1. Every document is encoded whole; its ids, with the end id behind them, go to a shared table.
 2. BM25 statistics over all documents: document frequency of each token id (as many rows as the
    vocabulary has), number of documents, mean length. They are broadcast.
-3. Documents are range-partitioned into shards by their strongest term and their id, so that related ones
-   meet, and a term that a third of all documents share still spreads over many shards.
+3. Documents are dealt out to shards by ranges of their strongest term and their id, so that related ones
+   meet, and a term that a third of all documents share still spreads over many shards. The limits between shards
+   are quantiles over a sample of the documents.
 4. A shard works through blocks of a bounded number of tokens. It builds the block's inverted index. A seed
    document opens a sequence; the index returns its unused neighbours by BM25 score, and they fill the
    window one after the other. The document that no longer fits is cut; its rest seeds the next sequence.
@@ -20,6 +21,7 @@ import math
 import zlib
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from cutline.llm.common import Recent, documents, new_folder, ship
@@ -69,7 +71,7 @@ class WordEncoder:
             bare = {**parts, "normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
             self.merges, self.chars = Tokenizer.from_str(json.dumps(bare)), byte_characters()
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.tokens, self.words = Recent(self._tokens, most=500_000), Recent(self._words, most=1_000_000)
+        self.tokens, self.words = Recent(self._tokens, most=1_000_000), Recent(self._words, most=2_000_000)
 
     def _whole(self, text):
         import numpy as np
@@ -95,8 +97,7 @@ class WordEncoder:
         found = [
             [w] if w.isalpha() else [w[:-1], w[-1]] if w[-1] in ".,!" and w[:-1].isalpha() else self.find(w) for w in words
         ]
-        known = self.tokens.learn({t for tokens in found for t in tokens})
-        return [known[tokens[0]] if len(tokens) == 1 else b"".join([known[t] for t in tokens]) for tokens in found]
+        return [ids[0] if len(ids) == 1 else b"".join(ids) for ids in self.tokens.values(found)]
 
     def _cut(self, text):
         """The words of a text, or None if it has to go through the tokenizer whole."""
@@ -111,10 +112,9 @@ class WordEncoder:
     def encode(self, texts):
         """Little-endian ids of each text with the end id."""
         cut = [self._cut(t) for t in texts]
-        known = self.words.learn(set().union(*(words for words in cut if words)))
         return [
-            (self._whole(text).tobytes() if words is None else b"".join(map(known.__getitem__, words))) + self.end
-            for text, words in zip(texts, cut)
+            (self._whole(text).tobytes() if words is None else b"".join(ids)) + self.end
+            for text, words, ids in zip(texts, cut, self.words.values([words or () for words in cut]))
         ]
 
 
@@ -295,13 +295,21 @@ def pack(docs, tokenizer_path, end_id=2, window=WINDOW, shard_tokens=4_000_000,
     idf = spark.sparkContext.broadcast(np.log1p((number - df + 0.5) / (df + 0.5)))
     mean = total / max(number, 1)
 
-    def with_term(batches):
+    def with_key(batches):
+        """The document's place in the order of shards: its strongest term, then its id (the last 40 bits)."""
         for batch in batches:
             terms = []
             for row in batch.column(1):
                 ids, tf = _terms(np.frombuffer(row.as_py(), dtype))
                 terms.append(int(ids[np.argmax(idf.value[ids] * tf / (tf + K1))]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(terms, pa.int64())], ["doc_id", "ids", "term"])
+            low = pc.fill_null(batch.column(0), 0).to_numpy() & ((1 << 40) - 1)
+            key = np.array(terms, np.int64) << 40 | low
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key)], ["doc_id", "ids", "key"])
+
+    def with_shard(batches):
+        for batch in with_key(batches):
+            shard = np.searchsorted(limits.value, batch.column(2).to_numpy(), "right").astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shard)], ["doc_id", "ids", "key", "shard"])
 
     def fill(batches):
         from pyspark import TaskContext
@@ -320,10 +328,18 @@ def pack(docs, tokenizer_path, end_id=2, window=WINDOW, shard_tokens=4_000_000,
         packer.finish()
         yield packer.batch()
 
+    # Limits between shards come from about 200 documents a shard; they decide the balance only. Ranges of whole documents by
+    # Spark's own sampling would decode every document once more.
+    number_of_shards = max(1, math.ceil(total / shard_tokens))
+    sampled = encoded.sample(min(1.0, 200 * number_of_shards / max(number, 1)), seed=7).mapInArrow(
+        with_key, "doc_id long, ids binary, key long")
+    shares = [n / number_of_shards for n in range(1, number_of_shards)]
+    found = sampled.agg(F.percentile_approx("key", shares, max(10_000, 10 * number_of_shards))).first()[0] if shares else None
+    limits = spark.sparkContext.broadcast(np.array(found or [], np.int64))
     shards = (
-        encoded.mapInArrow(with_term, "doc_id long, ids binary, term long")
-        .repartitionByRange(max(1, math.ceil(total / shard_tokens)), "term", "doc_id")
-        .sortWithinPartitions("term", "doc_id", F.crc32("ids"))
+        encoded.mapInArrow(with_shard, "doc_id long, ids binary, key long, shard int")
+        .repartitionById(number_of_shards, "shard")
+        .sortWithinPartitions("key", "doc_id", F.crc32("ids"))
         .select("doc_id", "ids")
     )
     return shards.mapInArrow(fill, SCHEMA)

@@ -50,7 +50,7 @@ def test_the_query_is_registered():
     import __spark_entry__ as entry
 
     assert "pipeline" in entry.queries() and cp.ORACLE_SQL is None
-    assert len([q for q in entry.queries() if q.startswith("op")]) == 10
+    assert len([q for q in entry.queries() if q.startswith("op")]) == 13
     assert callable(quality.classify)
 
 
@@ -61,3 +61,27 @@ def test_near_duplicates_with_repeated_ids(spark):
     out = cp.near_stage(spark, plain.frame(spark, data), plain.SF).select("doc_id", "text").collect()
     want = [(1, text("a")), (2, text("b")), (3, text("c")), (5, ""), (5, ""), (None, text("a")), (6, text("d"))]
     assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
+
+
+def test_columns_of_any_name_pass_through(spark, folder):
+    """Names that operators use themselves stay as they came, in every stage that returns documents."""
+    import pyspark.sql.functions as F
+
+    names = ["n_lines", "n_dropped", "kept_text", "quality_score", "accepted", "spans", "__key", "__own", "__doc", "__row",
+             "others", "th", "__th", "a.b"]
+    docs = plain.frame(spark).select("doc_id", "text", *[
+        F.concat(F.lit(f"{name}:"), F.coalesce("lang", F.lit("-"))).alias(name) for name in names], "lang")
+    for n, (name, stage) in enumerate(cp.STAGES[:4]):
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        out.write.parquet(f"{folder}/{n}")
+        kept = spark.read.parquet(f"{folder}/{n}")
+        assert kept.count() > 0
+        for row in kept.collect():
+            assert all(row[c] == f"{c}:{row['lang'] or '-'}" for c in names), (name, row)
+
+
+def test_only_the_two_needed_columns(spark, folder):
+    docs = plain.frame(spark).select("doc_id", "text")
+    for _, stage in cp.STAGES[:4]:
+        assert stage(spark, docs, folder).columns == ["doc_id", "text"]
