@@ -83,8 +83,7 @@ class Recent:
     """A bounded memory of results for strings, in two generations: what was used of late stays.
 
     `learn(keys)` computes what is missing (compute: list of keys -> list of values) and returns a dict
-    that holds a value for each of the keys. `values(lists)` replaces the keys of many lists by their values, with one
-    look at the memory per key that is known.
+    that holds a value for each of the keys.
     """
 
     def __init__(self, compute, most=800_000):
@@ -93,7 +92,7 @@ class Recent:
     def learn(self, keys):
         now = self.now
         keys = keys if isinstance(keys, set) else set(keys)
-        new = [k for k in keys if k not in now]
+        new = list(keys.difference(now))
         if new:
             if len(now) + len(new) > self.most // 2 and now:
                 self.before, self.now = now, {}
@@ -104,13 +103,3 @@ class Recent:
             if missing:
                 now.update(zip(missing, self.compute(missing)))
         return now
-
-    def values(self, lists):
-        get = self.now.get
-        found = [list(map(get, keys)) for keys in lists]
-        short = [n for n, own in enumerate(found) if None in own]
-        if short:
-            known = self.learn({k for n in short for k, v in zip(lists[n], found[n]) if v is None})
-            for n in short:
-                found[n] = [known[k] if v is None else v for k, v in zip(lists[n], found[n])]
-        return found

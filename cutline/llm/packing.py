@@ -71,7 +71,7 @@ class WordEncoder:
             bare = {**parts, "normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
             self.merges, self.chars = Tokenizer.from_str(json.dumps(bare)), byte_characters()
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.tokens, self.words = Recent(self._tokens, most=1_000_000), Recent(self._words, most=2_000_000)
+        self.tokens, self.words = Recent(self._tokens, most=750_000), Recent(self._words, most=1_500_000)
 
     def _whole(self, text):
         import numpy as np
@@ -97,7 +97,8 @@ class WordEncoder:
         found = [
             [w] if w.isalpha() else [w[:-1], w[-1]] if w[-1] in ".,!" and w[:-1].isalpha() else self.find(w) for w in words
         ]
-        return [ids[0] if len(ids) == 1 else b"".join(ids) for ids in self.tokens.values(found)]
+        known = self.tokens.learn({t for tokens in found for t in tokens})
+        return [known[tokens[0]] if len(tokens) == 1 else b"".join([known[t] for t in tokens]) for tokens in found]
 
     def _cut(self, text):
         """The words of a text, or None if it has to go through the tokenizer whole."""
@@ -112,9 +113,10 @@ class WordEncoder:
     def encode(self, texts):
         """Little-endian ids of each text with the end id."""
         cut = [self._cut(t) for t in texts]
+        known = self.words.learn(set().union(*(words for words in cut if words)))
         return [
-            (self._whole(text).tobytes() if words is None else b"".join(ids)) + self.end
-            for text, words, ids in zip(texts, cut, self.words.values([words or () for words in cut]))
+            (self._whole(text).tobytes() if words is None else b"".join(map(known.__getitem__, words))) + self.end
+            for text, words in zip(texts, cut)
         ]
 
 
