@@ -25,5 +25,10 @@ def all_queries():
 
 
 def all_sql():
-    """Only exact dedup and line dedup can be said in SQL; the others are tested against plain versions."""
-    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op6_line_dedup": line_dedup.OP6_SQL}
+    """What SQL can say: the dedups and the joins. The others are tested against plain versions."""
+    return {
+        "op2_exact_dedup": exact_dedup.OP2_SQL,
+        "op3_lattice_dedup": lattice_dedup.OP3_SQL,
+        "op6_line_dedup": line_dedup.OP6_SQL,
+        "op8_jaccard_join": jaccard_join.OP8_SQL,
+    }

@@ -7,10 +7,12 @@ texts the row with the largest doc_id stays.
 2. `directory`: the leading bits of the distinct keys are counted. While a bucket holds more keys than
    its capacity the directory doubles and that bucket splits by one more bit. A bucket is a range of
    keys. Copies count once here, so a text that a third of all rows share does not overfill a bucket.
-3. `chains`: rows meet by bucket, key and text. Equal rows are combined in the task that reads them,
-   before the shuffle, and text bytes are compared there and where the parts meet. Texts of one key
-   that differ become links of that key's chain. Owner tasks hold key ranges and write them sorted.
-4. Each entry finds its link by key and digest.
+3. `chains`: a row looks its bucket up in the directory and meets others by bucket, key and text. Equal rows are
+   combined in the task that reads them, before the shuffle, and text bytes are compared there and where the
+   parts meet. Texts of one key that differ become numbered links of that key's chain. Owner tasks hold buckets,
+   which are ranges of keys, and write them sorted.
+4. Lookup: each entry asks the directory for its bucket, the bucket's chain of its key for the link of its digest, and
+   the link for what stays. A row whose bucket the directory does not know has no answer, and would be missing.
 
 Rows: repeated rows, and rows that repeat a doc_id, are rows like any other; exactly one row per group is
 kept, unless several rows of the group carry the kept doc_id, which then are all kept. A null doc_id is
@@ -81,36 +83,45 @@ def build_index(docs, capacity=32_768, key=hash_key):
     directory, depth = build_directory(entries.select("key").distinct(), capacity)
     directory = stored(directory, f"{root}/directory")
     groups = (
-        texts.select("doc_id", "body", key(F.col("body")).alias("key"))
-        .groupBy(_slot(F.col("key"), depth).alias("slot"), "key", "body")
+        in_buckets(texts.select("doc_id", "body", key(F.col("body")).alias("key")), directory, depth)
+        .groupBy("bucket", "key", "body")
         .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("slot", "key", F.unhex(F.sha2("body", 256)).alias("digest"), "keep_id", "group_size")
+        .select("bucket", "key", F.unhex(F.sha2("body", 256)).alias("digest"), "keep_id", "group_size")
     )
     place = Window.partitionBy("bucket", "key").orderBy("digest")
     chains = (
-        groups.join(directory.select("slot", "bucket"), "slot")
-        .repartition("bucket")
+        groups.repartition("bucket")
         .withColumn("link", F.row_number().over(place))
         .select("bucket", "key", "link", "digest", "keep_id", "group_size")
         .sortWithinPartitions("bucket", "key", "link")
     )
-    return entries, directory, stored(chains, f"{root}/chains")
+    return in_buckets(entries, directory, depth), directory, stored(chains, f"{root}/chains")
+
+
+def in_buckets(rows, directory, depth):
+    """The rows with the bucket that the directory has for the leading bits of their key.
+
+    The directory is broadcast, so that texts are not moved for it: it has two numbers for each of at most 2 ** FINE_BITS slots.
+    """
+    slots = F.broadcast(directory.select("slot", "bucket"))
+    return rows.withColumn("slot", _slot(F.col("key"), depth)).join(slots, "slot").drop("slot")
 
 
 def exact_dedup(docs, capacity=32_768, key=hash_key):
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, and key and link in the index."""
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, and its bucket, key and link in the index."""
     entries, _, chains = build_index(docs, capacity, key)
-    return entries.join(chains, ["key", "digest"]).select(
+    return entries.join(chains, ["bucket", "key", "digest"]).select(
         "doc_id",
         "keep_id",
         "group_size",
         F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        "bucket", "key", "link",
     )
 
 
 def op2_exact_dedup(spark, sf_dir):
-    return exact_dedup(documents(spark, sf_dir))
+    return exact_dedup(documents(spark, sf_dir)).drop("bucket", "key", "link")
 
 
 OP2_SQL = """

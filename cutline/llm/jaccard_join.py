@@ -355,3 +355,22 @@ def jaccard_classes(docs, words=5, share=(80, 100), common=32):
 
 def op8_jaccard_join(spark, sf_dir):
     return jaccard_classes(documents(spark, sf_dir), words=4, share=(85, 100))
+
+
+# Every pair of documents that share a shingle, compared by whole sets; reachable documents by recursion.
+OP8_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM texts),
+sizes AS (SELECT doc_id, count(s) AS n FROM texts LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+reach AS (SELECT doc_id, doc_id AS other FROM texts UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT doc_id, any_value(n) AS n_shingles, min(other) AS component_id FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

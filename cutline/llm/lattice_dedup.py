@@ -188,3 +188,18 @@ def vector_links(vectors, least=0.95, tables=8, blocks=3, scale=0.8, seed=17):
 
 def op3_lattice_dedup(spark, sf_dir):
     return vector_links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+# All pairs of vectors of finite components that are not all zero; reachable vectors by recursion.
+OP3_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v,
+         coalesce(len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+                  AND list_bool_or(list_transform(embedding, lambda x: x <> 0)), false) AS usable FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE a.usable AND b.usable AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (SELECT vec_id, vec_id AS other FROM vectors UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+parts AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM parts
+"""
