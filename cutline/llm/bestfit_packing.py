@@ -78,7 +78,7 @@ class SpacedEncoder:
             words = text.split(" ")
             first.append(words.pop(0))
             cut.append(words)
-        known = self.words.learn(set().union(*cut))
+        known = self.words.recall(set().union(*cut))
         out = [b"".join((a, *map(known.__getitem__, words), self.end)) for a, words in zip(self._ids(first), cut)]
         for n, ids in zip(whole, self._ids(list(whole.values()))):
             out[n] = ids + self.end

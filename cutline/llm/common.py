@@ -83,7 +83,8 @@ class Recent:
     """A bounded memory of results for strings, in two generations: what was used of late stays.
 
     `learn(keys)` computes what is missing (compute: list of keys -> list of values) and returns a dict
-    that holds a value for each of the keys.
+    that holds a value for each of the keys. `recall(keys)` returns a dict of the keys alone, which is small: quicker to
+    look at when each key is needed many times.
     """
 
     def __init__(self, compute, most=800_000):
@@ -103,3 +104,11 @@ class Recent:
             if missing:
                 now.update(zip(missing, self.compute(missing)))
         return now
+
+    def recall(self, keys):
+        found = dict(zip(keys, map(self.now.get, keys)))
+        missing = {k for k, v in found.items() if v is None}
+        if missing:
+            known = self.learn(missing)
+            found.update((k, known[k]) for k in missing)
+        return found

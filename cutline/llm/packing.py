@@ -113,7 +113,7 @@ class WordEncoder:
     def encode(self, texts):
         """Little-endian ids of each text with the end id."""
         cut = [self._cut(t) for t in texts]
-        known = self.words.learn(set().union(*(words for words in cut if words)))
+        known = self.words.recall(set().union(*(words for words in cut if words)))
         return [
             (self._whole(text).tobytes() if words is None else b"".join(map(known.__getitem__, words))) + self.end
             for text, words in zip(texts, cut)
