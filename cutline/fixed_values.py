@@ -162,6 +162,30 @@ POOL_MART_KEYS = (
     "institute_code", "institute_name", "branch_name", "clean_category", "seat_gender", "seat_pool",
 )
 V1_MART_KEYS = ("institute_code", "institute_name", "branch_name", "clean_category", "seat_gender")
+# --- seats: (label, test, value), the first that holds. Suffixes come first on purpose: EWS and TFWS count as State, MI-MH as HomeUniv
+SEAT_GENDERS = (
+    ("F", "prefix", "L"),
+    ("M", "prefix", "G"),
+    ("ANY", "one_of", OPEN_TO_ANY_GENDER),
+)
+SEAT_GENDERS_V1 = (
+    ("F", "prefix", "L"),
+    ("M", "prefix", "G"),
+    ("AI", "one_of", ("AI",)),
+    ("MI", "one_of", ("MI",)),
+)
+SEAT_POOLS = (
+    ("State", "suffix", "S"),
+    ("HomeUniv", "suffix", "H"),
+    ("Other", "suffix", "O"),
+    ("AllIndia", "one_of", ("AI",)),
+    ("Minority", "one_of", ("MI", "MI-MH")),
+    ("TFWS", "one_of", ("TFWS",)),
+    ("EWS", "one_of", ("EWS",)),
+    ("Orphan", "one_of", ("ORPHAN",)),
+    ("PWD", "prefix", "PWD"),
+    ("Defence", "prefix", "DEF"),
+)
 POOLS_OUTSIDE_MAIN_MART = ("AllIndia", "Minority", "Orphan")
 
 # --- quality rules: column -> (warn above %, fail above %, notes) -------------------------------
@@ -175,6 +199,7 @@ COMPLETENESS_RULES = {
     "branch_name": (2.0, 5.0, "known gap, baseline 1.42 %"),
     "cap_round_num": (0.0, 1.0, ""),
 }
+REPORT_COLUMNS_V1 = ("mhtcet_score", "gender", "seat_type", "clean_category", "institute_name", "branch_name")
 RECONCILE_WARN_PCT, RECONCILE_FAIL_PCT = 16.0, 20.0
 MART_GRAIN = ("institute_code", "branch_name", "clean_category", "seat_gender", "is_ews", "is_tfws")
 CUTOFF_COLUMNS = ("cap1_cutoff", "cap2_cutoff", "cap3_cutoff", "cap4_cutoff")

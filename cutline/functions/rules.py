@@ -37,31 +37,9 @@ def first_match(column, rules, otherwise):
 CATEGORY_RULES = [Rule(label, "regex", pattern) for label, pattern in fixed.CATEGORY_PATTERNS]
 CATEGORY_RULES_V1 = [Rule(label, "regex", pattern) for label, pattern in fixed.CATEGORY_PATTERNS_V1]
 
-SEAT_GENDER_RULES = [
-    Rule("F", "prefix", "L"),
-    Rule("M", "prefix", "G"),
-    Rule("ANY", "one_of", fixed.OPEN_TO_ANY_GENDER),
-]
-SEAT_GENDER_RULES_V1 = [
-    Rule("F", "prefix", "L"),
-    Rule("M", "prefix", "G"),
-    Rule("AI", "one_of", ("AI",)),
-    Rule("MI", "one_of", ("MI",)),
-]
-
-# The suffix rules come first on purpose: EWS and TFWS count as State and MI-MH as HomeUniv.
-SEAT_POOL_RULES = [
-    Rule("State", "suffix", "S"),
-    Rule("HomeUniv", "suffix", "H"),
-    Rule("Other", "suffix", "O"),
-    Rule("AllIndia", "one_of", ("AI",)),
-    Rule("Minority", "one_of", ("MI", "MI-MH")),
-    Rule("TFWS", "one_of", ("TFWS",)),
-    Rule("EWS", "one_of", ("EWS",)),
-    Rule("Orphan", "one_of", ("ORPHAN",)),
-    Rule("PWD", "prefix", "PWD"),
-    Rule("Defence", "prefix", "DEF"),
-]
+SEAT_GENDER_RULES = [Rule(*row) for row in fixed.SEAT_GENDERS]
+SEAT_GENDER_RULES_V1 = [Rule(*row) for row in fixed.SEAT_GENDERS_V1]
+SEAT_POOL_RULES = [Rule(*row) for row in fixed.SEAT_POOLS]
 
 
 def leading_category(column):

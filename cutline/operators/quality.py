@@ -50,6 +50,15 @@ def completeness(df, rules=None, layer="silver"):
     return _silver_counts(df, rules).select(F.inline(F.array(*_completeness_rules(rules, layer))))
 
 
+def report_v1(df, columns=fixed.REPORT_COLUMNS_V1):
+    """The older report: missing values of six columns with their share, marked as soon as there is one."""
+    found = completeness(df, {name: (0.0, 100.0, "") for name in columns})
+    return found.select(
+        F.regexp_replace("rule_name", r"^not_null\.", "").alias("field"), F.col("rows_failed").alias("missing"),
+        percent_failed(F.col("rows_checked"), F.col("rows_failed")).alias("pct"),
+        F.when(F.col("rows_failed") == 0, "✅").otherwise("⚠️").alias("icon"))
+
+
 def _bronze_counts(df):
     malformed = F.count_if(F.col(MALFORMED).isNotNull()) if MALFORMED in df.columns else F.lit(0).cast("bigint")
     return df.agg(F.count(F.lit(1)).alias("_bronze"), malformed.alias("_malformed_rows"))
@@ -58,9 +67,9 @@ def _bronze_counts(df):
 def _reconcile_rule(warn_pct, fail_pct):
     dropped = F.col("_bronze") - F.col("_silver")
     notes = F.format_string(
-        "bronze=%s, silver=%s, dropped=%s (%s%%)",
-        F.format_number("_bronze", 0), F.format_number("_silver", 0), F.format_number(dropped, 0),
-        F.format_string("%.2f", percent_failed(F.col("_bronze"), dropped)),
+        "%s of %s raw rows left out (%s %%), %s cleaned",
+        F.format_number(dropped, 0), F.format_number("_bronze", 0),
+        F.format_string("%.2f", percent_failed(F.col("_bronze"), dropped)), F.format_number("_silver", 0),
     )
     return _rule("bronze_to_silver", "row_count_reconciliation", F.col("_bronze"), dropped, warn_pct, fail_pct, notes)
 

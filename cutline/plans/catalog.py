@@ -62,6 +62,7 @@ CLEAN = {
     "embedded_code_fixed": lambda spark, d: _separated(spark, d, False),
     "clean_category": lambda spark, d: _tally(cleaned(spark, d), "candidate_category", "clean_category"),
     "categorise_v1": lambda spark, d: _tally(cleaned_v1(spark, d), "candidate_category", "clean_category"),
+    "marker_trim": lambda spark, d: _marker_trim(spark, d),
     "seat_gender_pool": lambda spark, d: _tally(cleaned(spark, d), "seat_type", "seat_gender", "seat_pool"),
     "seat_gender_v1": lambda spark, d: _tally(cleaned_v1(spark, d), "seat_type", "seat_gender"),
     "silver_full": cleaned,
@@ -128,7 +129,28 @@ def _dq_trend(spark, d):
     )
 
 
+def _dq_trend_limit(spark, d):
+    """Five runs of the rules in the history, 65 rows: the latest fifty."""
+    path, once = scratch_dir(spark, "history"), scratch_dir(spark, "measured")
+    _metrics(spark, d).write.parquet(once)
+    for run in range(1, 6):
+        stamped = spark.read.parquet(once).withColumns({
+            "run_id": F.lit(f"run-{run}"), "run_ts": F.lit(f"2025-07-0{run} 00:00:00").cast("timestamp")})
+        tables.write_path(stamped.coalesce(1), path, mode="append")
+    return quality.trend(tables.read_path(spark, path)).select(
+        F.dayofmonth("run_ts").cast("bigint").alias("run"), "layer", "rule_name", "rows_checked", "rows_failed", "pct_failed", "status")
+
+
+def _marker_trim(spark, d):
+    """Markers with blanks round them, empty ones and none: what is left of them beside the seat."""
+    rows = layers.bronze(spark, d).withColumn(
+        "seat_marker", F.when(F.col("sr_no") % 3 == 0, " ^ ").when(F.col("sr_no") % 3 == 1, ""))
+    return _tally(cleaning.build_silver(rows), "seat_marker", "seat_type")
+
+
 QUALITY = {
+    "dq_report_v1": lambda spark, d: quality.report_v1(layers.silver_v1(spark, d)),
+    "dq_trend_limit": _dq_trend_limit,
     "dq_completeness": lambda spark, d: quality.completeness(layers.silver(spark, d)).drop("notes"),
     "dq_grading": lambda spark, d: quality.grade(quality.completeness(layers.silver(spark, d)))
     .withColumn("icon", quality.report_icon(F.col("pct_failed")))

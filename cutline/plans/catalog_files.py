@@ -524,6 +524,48 @@ def _convert_tree_ordered(spark, d):
         F.md5(F.array_join(F.transform("own", lambda r: r["block"]), "\n").cast("binary")).alias("in_order"))
 
 
+def _marked_lines(spark, d):
+    """Candidate lines with a marker before the seat, attached or on its own, some without a name; parsed back."""
+    rows = layers.bronze(spark, d).filter(
+        "NOT is_vacant AND gender IS NOT NULL AND seat_type IS NOT NULL AND mhtcet_score IS NOT NULL AND application_id LIKE 'EN%'")
+    seat = F.when(F.col("sr_no") % 2 == 0, F.concat(F.lit("^ "), "seat_type")).otherwise(F.concat(F.lit("^"), "seat_type"))
+    line = F.concat_ws(
+        " ", "sr_no", "merit_no", F.format_string("%.7f", "mhtcet_score"), "application_id",
+        F.when(F.col("merit_no") % 11 != 0, F.col("candidate_name")), "gender", "candidate_category", seat)
+    lines = rows.select(
+        F.concat_ws("/", "cap_round", "institute_code").alias("file"), "cap_round", F.lit(0).cast("bigint").alias("seg"),
+        F.monotonically_increasing_id().alias("pos"), line.alias("line"))
+    parsed = documents.parse_documents(lines, stage=scratch_dir(spark, "marked"))
+    return parsed.groupBy("seat_type", "seat_marker", "candidate_category", "_validation_warnings").agg(
+        _n().alias("rows"), F.count_if(F.col("candidate_name") != "").alias("named"), F.sum("merit_no").alias("merits"))
+
+
+_logs = {}
+
+
+def _converted(spark, d):
+    """The log that the converter itself writes for the rendered lists, one document each, and the texts, one per source."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _logs:
+        base = scratch_dir(spark, "converter")
+        lists = layers.lines(spark, d).select(
+            F.col("cap_round").alias("round"), F.regexp_extract("file", r"(\d+)\.txt$", 1).alias("name"), "seg", "pos", "line")
+        texts = _text_lines(spark, d).select(F.lit("texts").alias("round"), F.col("cap_round").alias("name"), "seg", "pos", "line")
+        lines = lists.unionByName(texts).repartition("round", "name").sortWithinPartitions("round", "name", "seg", "pos")
+        lines.select("round", "name", "line").write.partitionBy("name", "round").text(f"{base}/documents")
+        conversion_job.convert(spark, f"{base}/documents", f"{base}/csv", f"{base}/log", ordered=True)
+        _logs[key] = f"{base}/log"
+    log = logs.read_log(spark, _logs[key])
+    name = F.regexp_extract("file", "/name=([^/]+)/", 1)
+    return log.withColumns({"document": F.concat_ws("/", "round", name), "file": F.concat_ws("/", "round", name)})
+
+
+def _converter_log_summary(spark, d):
+    log = _converted(spark, d)
+    return conversion.log_summary(log).drop("avg_time_s").join(
+        log.groupBy("round", "status").agg(F.count("elapsed_s").alias("timed")), ["round", "status"])
+
+
 def _coerce_types(spark, d):
     """Raw text values, some unreadable, to typed ones: '7.0' is 7, a name in a counter is NULL."""
     rows = layers.bronze(spark, d)
@@ -604,6 +646,10 @@ DOCUMENTS = {
     "convert_pending_only": _convert_pending_only,
     "convert_retry": _convert_retry,
     "convert_tree_ordered": _convert_tree_ordered,
+    "marked_lines": _marked_lines,
+    "converter_log_summary": _converter_log_summary,
+    "converter_top_warned": lambda spark, d: conversion.top_warned(_converted(spark, d)).withColumnRenamed("file", "document"),
+    "converter_failed": lambda spark, d: conversion.failed_files(_converted(spark, d)).withColumnRenamed("file", "document"),
     "row_flags": lambda spark, d: _parsed(spark, d).groupBy("_validation_warnings", "is_vacant").agg(
         _n().alias("rows")
     ),

@@ -1,7 +1,8 @@
 """The registered queries as DuckDB SQL over the same tables.
 
 Written independently of the Spark plans: the shared CTEs below spell the projection, the cleaning
-and the marts out in SQL.
+and the marts out in SQL. Patterns, codes, labels and thresholds in them are fixed values: results depend on
+them, and they are those of `fixed_values.py`, written down once more so that a slip in either place shows.
 """
 
 ALLOT = r"""
@@ -320,6 +321,9 @@ def clean_queries():
         + " SELECT candidate_category, clean_category, count(*) AS n FROM cleaned GROUP BY ALL",
         "categorise_v1": cut + SILVER_V1
         + " SELECT candidate_category, clean_category, count(*) AS n FROM silver_v1 GROUP BY ALL",
+        "marker_trim": ("WITH " + SILVER).replace("CAST(NULL AS VARCHAR) AS seat_marker", """
+           CASE l_linenumber % 3 WHEN 0 THEN ' ^ ' WHEN 1 THEN '' END AS seat_marker""") + """
+          SELECT seat_marker, seat_type, count(*) AS n FROM silver GROUP BY ALL""",
         "seat_gender_pool": cut + SILVER
         + " SELECT seat_type, seat_gender, seat_pool, count(*) AS n FROM silver GROUP BY ALL",
         "seat_gender_v1": cut + SILVER_V1
@@ -442,9 +446,18 @@ def quality_queries():
         "dq_grading": cut + SILVER + ", rules AS (" + COMPLETENESS_ROWS + "), " + GRADED + """
           SELECT *, CASE WHEN pct_failed = 0 THEN '✅' WHEN pct_failed < 1 THEN '⚠️' ELSE '❌' END AS icon FROM metrics""",
         "dq_reconcile": cut + SILVER + f""" , r AS ({RECONCILE_ROW})
-          SELECT *, 'bronze=' || format('{{:,}}', rows_checked) || ', silver=' || format('{{:,}}', rows_checked - rows_failed)
-            || ', dropped=' || format('{{:,}}', rows_failed) || ' ('
-            || format('{{:.2f}}', round(100.0 * rows_failed / rows_checked, 2)) || '%)' AS notes FROM r""",
+          SELECT *, format('{{:,}}', rows_failed) || ' of ' || format('{{:,}}', rows_checked) || ' raw rows left out ('
+            || format('{{:.2f}}', round(100.0 * rows_failed / rows_checked, 2)) || ' %), '
+            || format('{{:,}}', rows_checked - rows_failed) || ' cleaned' AS notes FROM r""",
+        "dq_report_v1": cut + SILVER_V1 + ", counted AS (" + " UNION ALL ".join(
+            f"SELECT '{c}' AS field, count(*) FILTER (WHERE {c} IS NULL{empty}) AS missing, count(*) AS n FROM silver_v1"
+            for c, empty in (("mhtcet_score", ""), *((t, f" OR {t} = ''") for t in (
+                "gender", "seat_type", "clean_category", "institute_name", "branch_name")))) + """)
+          SELECT field, missing, round(100.0 * missing / n, 2) AS pct, CASE missing WHEN 0 THEN '✅' ELSE '⚠️' END AS icon
+          FROM counted""",
+        "dq_trend_limit": cut + METRICS + """
+          SELECT run, layer, rule_name, rows_checked, rows_failed, pct_failed, status
+          FROM metrics, range(1, 6) AS runs(run) ORDER BY run DESC, layer, rule_name LIMIT 50""",
         "dq_nonempty": cut + GOLD + " " + NONEMPTY_ROW,
         "dq_unique_grain": cut + GOLD + " " + GRAIN_ROW,
         "dq_all_null": cut + GOLD + " " + ALL_NULL_ROW,
@@ -570,6 +583,15 @@ outcomes AS (
   FROM files f LEFT JOIN outcome_rows o ON f.file = o.file AND f.round = o.round
 )"""
 
+# The converter's own log over rendered lists, one document each, and the texts, one document per source.
+CONVERTED = RENDERED + r""",
+converted AS (
+  SELECT 'round=' || cap_round || '/' || institute_code AS document, 'round=' || cap_round AS round, 'ok' AS status,
+         CAST(count(*) AS INTEGER) AS rows, CAST(count(*) FILTER (WHERE _validation_warnings <> '') AS INTEGER) AS warnings
+  FROM parsed GROUP BY cap_round, institute_code
+  UNION ALL SELECT 'round=texts/' || source, 'round=texts', 'failed', 0, NULL FROM documents GROUP BY source
+)"""
+
 LOG = r"""
 log AS (
   SELECT CASE WHEN n_chars >= 300 THEN 'ok' ELSE 'failed' END AS status,
@@ -699,6 +721,20 @@ def document_queries():
                    branch_name || ':' || CAST(is_ews AS VARCHAR) || ':' || CAST(is_tfws AS VARCHAR), chr(10)
                    ORDER BY branch_name, CASE WHEN is_ews THEN 1 WHEN is_tfws THEN 2 ELSE 0 END)) AS in_order
           FROM parsed, (VALUES ('2024'), ('2025')) AS years(year) GROUP BY cap_round, institute_code, year""",
+        "marked_lines": cut + ALLOT + """
+          SELECT seat_type, '^' AS seat_marker, candidate_category, CASE WHEN merit_no % 11 = 0 THEN 'missing_name' ELSE '' END
+                   AS _validation_warnings, count(*) AS rows,
+                 count(*) FILTER (WHERE merit_no % 11 <> 0) AS named, CAST(sum(merit_no) AS BIGINT) AS merits
+          FROM allot WHERE NOT is_vacant AND gender IS NOT NULL AND seat_type IS NOT NULL AND mhtcet_score IS NOT NULL
+            AND application_id LIKE 'EN%' GROUP BY ALL""",
+        "converter_log_summary": cut + CONVERTED + """
+          SELECT round, status, count(*) AS files, CAST(sum(rows) AS BIGINT) AS total_rows, round(avg(rows), 2) AS avg_rows,
+                 count(*) AS timed FROM converted GROUP BY round, status""",
+        "converter_top_warned": cut + CONVERTED + """
+          SELECT document, round, rows, warnings FROM converted WHERE status = 'ok' AND warnings > 0
+          ORDER BY warnings DESC, document LIMIT 20""",
+        "converter_failed": cut + CONVERTED + """
+          SELECT document, round, 'parser returned 0 rows' AS error FROM converted WHERE status = 'failed'""",
         "row_flags": cut + RENDERED
         + " SELECT _validation_warnings, is_vacant, count(*) AS rows FROM parsed GROUP BY ALL",
         "coerce_types": cut + ALLOT + """
