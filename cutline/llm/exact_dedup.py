@@ -37,8 +37,8 @@ def hash_key(text):
 
 
 def _slot(key, bits):
-    """The leading `bits` bits of the key."""
-    return F.shiftrightunsigned(key, 64 - bits) if bits else F.lit(0).cast("long")
+    """The leading `bits` bits of the key. Two shifts, because one by 64 does nothing; no bits are 0, computed from the key."""
+    return F.shiftrightunsigned(F.shiftrightunsigned(key, 1), 63 - bits)
 
 
 def build_directory(keys, capacity):
