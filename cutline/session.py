@@ -43,6 +43,25 @@ def shuffles_sized_for(spark, total_bytes):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+SCAN_BYTES = 16 * 1024 * 1024
+
+
+@contextmanager
+def small_scans(spark, scan_bytes=SCAN_BYTES):
+    """Scans planned in the block give a task at most that many bytes of files.
+
+    For steps that sort what they scan: in columns with few values a file of the usual 128 MB packs millions of rows, many
+    times its size in memory, and each of its tasks would spill all of them.
+    """
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(scan_bytes, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def scratch_dir(spark, label):
     """A new folder for intermediate tables in a place that all executors share.
 

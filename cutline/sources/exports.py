@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from cutline.operators.reports import filter_values
+from cutline.session import small_scans
 from cutline.sources.tables import delete_path
 
 FILTER_VALUES_SCHEMA = "field string, value string"
@@ -31,20 +32,21 @@ def export_csv_tree(df, path, folder="cap_round", document=None):
     """
     foldered = df.withColumn("folder", F.col(folder))
     below = [document] if document else []
-    foldered.write.mode("overwrite").option("header", True).option("partitionOverwriteMode", "dynamic").partitionBy(
-        "folder", *below
-    ).csv(path)
+    with small_scans(df.sparkSession):  # the writer sorts each task's rows by their folder
+        foldered.write.mode("overwrite").option("header", True).option("partitionOverwriteMode", "dynamic").partitionBy(
+            "folder", *below
+        ).csv(path)
 
 
 PLACE = ("document", "seg", "pos")
 
 
-def export_ordered_tree(df, path, folder="cap_round", rows_per_file=1_000_000):
+def export_ordered_tree(df, path, folder="cap_round", rows_per_file=250_000):
     """Appends rows with their place (document, seg, pos) to a CSV tree with one folder per round, in the documents' order.
 
     Rows are dealt out by ranges of round and place, so the files of a round follow each other in the order of their names, a
     document is never a file of its own, and one with very many rows is spread over several. Their number is bounded by the
-    number of rows over `rows_per_file`, and one more per round.
+    number of rows over `rows_per_file`, which a task sorts in memory, and one more per round.
     """
     placed = df.withColumn("folder", F.col(folder))
     files = max(1, -(-df.count() // rows_per_file))
