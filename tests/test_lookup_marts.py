@@ -166,3 +166,25 @@ def test_moves_reduce_hot_candidates_before_the_window(spark):
     assert moves.filter("application_id = 'HOT'").count() == 4
     plan = moves._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Window") < plan.index("partial_max(struct")
+
+
+def test_batch_lookup_asks_few_spans_and_rounds_once(spark):
+    rows = [(f"I{i}", "HOT", "OBC", "M", 50.005 + i, 40.0, 30.0, float(i % 100), 1) for i in range(300)]
+    mart = spark.createDataFrame(rows, MART)
+    asked = _students(spark, [(f"s{n}", "OBC", "HOT", "M", n + 0.5) for n in range(100)])
+    limits = lookup.score_limits(mart)
+    bins = [sum(e <= n + 0.5 for e in limits) for n in range(100)]
+    levels = (len(limits) + 1).bit_length()
+    assert max(len(lookup._asked_spans(b, levels)) for b in bins) <= 4
+    for size in range(1, 20):
+        spans = [(set(lookup._asked_spans(b, size.bit_length())), set(lookup._spans_of(b, size.bit_length()))) for b in range(size)]
+        assert all(len(spans[b][0] & spans[g][1]) == (g <= b) for b in range(size) for g in range(size))
+    found = lookup.predict_batch(asked, mart)
+    got = {r.student_id: r for r in lookup.metrics_by_student(found).collect()}
+    for n in range(100):
+        reached = [r for r in rows if r[7] <= n + 0.5]
+        assert got[f"s{n}"].colleges_found == len(reached)
+    least = found.groupBy("student_id").agg(F.min(F.abs("score_gap"))).collect()
+    assert {r[0]: r[1] for r in least} == {k: r.least_gap for k, r in got.items()}
+    plan = lookup.metrics_by_student(found)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("round(") == 1 and plan.index("round(") < plan.index("Aggregate [student_id") + 400
