@@ -124,3 +124,27 @@ def test_float_switch_moves_the_edge(spark):
 def test_delete_by_file_keeps_rows_without_a_file(spark):
     df = spark.createDataFrame([("a/copy_1.csv",), ("a/1.csv",), (None,)], "_source_file string")
     assert cleaning.delete_by_file(df, "%copy%").count() == 2
+
+
+def test_patterns_run_only_where_they_can_match(spark):
+    """The seat pattern is tried once a row; blanks, signs and suffixes in odd places are cleaned as by the plain patterns."""
+    import re
+
+    rows = [
+        ("OPEN\t^  GOPENH \n", None, None), ("A\t\tB\n", "", " ~ "), (" X  Y ", None, ""), ("SC/DEF1/PH22 (NT-B)", "AI", None),
+        ("NT 2\n(NT-C)$ #", "AI", None), ("GOPENS", None, "^"), ("^ ^ MI", None, None), ("OBC/ (NT-E)", " ", None), (None, None, "*"),
+    ]
+    split = text.split_embedded_seat(_raw(spark, rows))
+    got = [tuple(r) for r in _derived(split).collect()]
+    assert [r[:3] for r in got] == [
+        ("GOPENH", "^", "OPEN"), (None, "~", "A B"), (None, None, "X Y"), ("AI", None, "SC"),
+        ("AI", None, "NT 2"), ("GOPENS", "^", "GOPENS"), ("MI", "^", "^"), (" ", None, "OBC/ (NT-E)"), (None, "*", None),
+    ]
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(candidate_category") == 2
+    tidied = _raw(spark, rows).select(text.tidy_category(F.col("candidate_category")).alias("c"))
+    for (value, *_), row in zip(rows, tidied.collect()):
+        if value is not None:
+            plain = re.sub(r"\s*\(NT-[ABCD]\)", "", re.sub(r"/(?:DEF|PH)\d+", "", value))
+            assert row.c == re.sub(r"\s+", " ", re.sub("[$#@]", "", plain)).strip(" ")
+    assert "case when contains" in tidied._jdf.queryExecution().optimizedPlan().toString().lower()
