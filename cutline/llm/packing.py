@@ -19,12 +19,14 @@ empty table gives an empty result. Other columns are ignored.
 
 import math
 import zlib
+from string import punctuation
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from cutline.llm.common import Recent, documents, new_folder, ship
+from cutline.llm.common import documents, new_folder, ship
+from cutline.llm.rank_bpe import encoding_of, ranks_of
 
 WINDOW = 4096
 K1, B = 1.2, 0.75
@@ -34,109 +36,81 @@ SCHEMA = (
 
 
 class WordEncoder:
-    """Ids of a text by a tokenizer whose pre-tokens hold no white space, each word encoded once.
+    """Ids of a text by a tokenizer whose pre-tokens hold no white space.
 
-    The tokenizer's own steps before the merges (canonical composition, lower case, its pattern, a character per
-    byte) are applied here, to new words only, and its merges run over many new pre-tokens in one call, told
-    apart by the ids that end a pre-token. Texts that hold a special token's string, or control characters
-    that Python counts as white space and the pattern does not, go through the tokenizer whole; so do all
-    texts if its steps are others.
+    The tokenizer's own steps before the merges (canonical composition, lower case, its pattern) are applied here;
+    the pre-tokens, a space behind each, go through the rank library (see `rank_bpe`), a text in one call. Texts that
+    hold a special token's string, or control characters that Python counts as white space and the pattern does not, go
+    through the tokenizer whole; so do all texts if its steps are others or its ids do not follow from ranks.
+    `ranks` is what `ranks_of` says about the tokenizer.
     """
 
     # The steps that are applied here.
     STEPS = ["NFC", "Replace", "Lowercase"]
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, spec, end_id):
+    def __init__(self, spec, end_id, ranks=ranks_of):
         import json
 
         import numpy as np
         import regex
         from tokenizers import Tokenizer
 
-        from cutline.llm.byte_bpe import byte_characters
-
         self.tokenizer = Tokenizer.from_str(spec)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         parts = json.loads(spec)
         kinds = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", ())]
         split = next(iter((parts["pre_tokenizer"] or {}).get("pretokenizers", ())), {})
-        suffix = parts["model"].get("end_of_word_suffix")
         own = kinds == self.STEPS and split.get("invert") and split["pattern"].get("Regex") == self.PATTERN
-        self.find = regex.compile(self.PATTERN).findall if own and suffix else None
-        self.odd = [t["content"] for t in parts["added_tokens"]] + ["\x1c", "\x1d", "\x1e", "\x1f"]
-        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        if self.find:
-            self.last[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
-            bare = {**parts, "normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
-            self.merges, self.chars = Tokenizer.from_str(json.dumps(bare)), byte_characters()
+        ranks = ranks(spec) if callable(ranks) else ranks
+        own = own and parts["model"].get("end_of_word_suffix") and ranks
+        special = {t["content"]: t["id"] for t in parts["added_tokens"]}
+        self.ranked = encoding_of(ranks, "[^ ]+ ", special) if own else None
+        self.find = regex.compile(self.PATTERN).findall
+        self.odd = [*special, "\x1c", "\x1d", "\x1e", "\x1f"]
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.tokens, self.words = Recent(self._tokens, most=500_000), Recent(self._words, most=1_000_000)
 
-    def _whole(self, text):
-        import numpy as np
+    def _part(self, word):
+        """A word with spaces between its pre-tokens."""
+        letters = word.rstrip(punctuation)
+        if letters.isalpha():
+            return f"{letters} {word[len(letters):]}"
+        return " ".join(self.find(word)) if letters else word
 
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+    def _ids(self, text):
+        import unicodedata
 
-    def _tokens(self, tokens):
-        """The ids of pre-tokens, as bytes."""
         import numpy as np
 
-        mapped = [t if t.isascii() else t.encode().decode("latin-1").translate(self.chars) for t in tokens]
-        if any(not t.isprintable() for t in mapped):  # control characters stand for themselves only in text
-            mapped = [t.encode().decode("latin-1").translate(self.chars) for t in tokens]
-        ids = np.array(self.merges.encode_batch_fast([" ".join(mapped)], add_special_tokens=False)[0].ids, self.dtype)
-        ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != len(tokens):
-            return [self._whole(t).tobytes() for t in tokens]
-        raw, at = ids.tobytes(), [0, *(ends * self.dtype.itemsize).tolist()]
-        return [raw[a:b] for a, b in zip(at, at[1:])]
-
-    def _words(self, words):
-        """The ids of words, as bytes."""
-        found = [
-            [w] if w.isalpha() else [w[:-1], w[-1]] if w[-1] in ".,!" and w[:-1].isalpha() else self.find(w) for w in words
-        ]
-        known = self.tokens.learn({t for tokens in found for t in tokens})
-        return [known[tokens[0]] if len(tokens) == 1 else b"".join([known[t] for t in tokens]) for tokens in found]
-
-    def _cut(self, text):
-        """The words of a text, or None if it has to go through the tokenizer whole."""
-        import unicodedata
-
-        if self.find is None or any(o in text for o in self.odd):
-            return None
+        if not self.ranked or any(o in text for o in self.odd):
+            return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return text.lower().split()
+        part = self._part
+        return self.ranked(" ".join([w if w.isalpha() else part(w) for w in text.lower().split()]) + " ")
 
     def encode(self, texts):
         """Little-endian ids of each text with the end id."""
-        cut = [self._cut(t) for t in texts]
-        known = self.words.recall(set().union(*(words for words in cut if words)))
-        return [
-            (self._whole(text).tobytes() if words is None else b"".join(map(known.__getitem__, words))) + self.end
-            for text, words in zip(texts, cut)
-        ]
+        return [self._ids(text).astype(self.dtype).tobytes() + self.end for text in texts]
 
 
 _encoders = {}
 
 
-def encoder_of(spec, end_id):
+def encoder_of(spec, end_id, ranks=ranks_of):
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     key = (hash(spec), end_id)
     if key not in _encoders:
-        _encoders[key] = WordEncoder(spec, end_id)
+        _encoders[key] = WordEncoder(spec, end_id, ranks)
     return _encoders[key]
 
 
-def encode(docs, spec, end_id):
+def encode(docs, spec, ranks, end_id):
     """(doc_id, ids): the ids as little-endian bytes."""
     def run(batches):
-        encoder = encoder_of(spec.value, end_id)
+        encoder = encoder_of(spec.value, end_id, ranks.value)
         for batch in batches:
             for at in range(0, len(batch), 200):
                 part = batch.slice(at, 200)
@@ -151,8 +125,10 @@ def _terms(ids):
     import numpy as np
 
     ordered = np.sort(ids, kind="stable")
-    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    return ordered[first].astype(np.int64), np.diff(np.append(first, len(ordered)))
+    last = np.flatnonzero(ordered[1:] != ordered[:-1])
+    edges = np.empty(len(last) + 2, np.int64)
+    edges[0], edges[1:-1], edges[-1] = 0, last + 1, len(ordered)
+    return ordered[edges[:-1]].astype(np.int64), edges[1:] - edges[:-1]
 
 
 def statistics(encoded, size, dtype):
@@ -203,6 +179,14 @@ class Block:
         scores = np.bincount(self.owner[at], self.weight[at], self.n)
         return np.argsort(-scores, kind="stable")
 
+    def keep(self, docs):
+        """Leaves the postings of other documents out (a mask); these score nothing from then on."""
+        import numpy as np
+
+        kept = docs[self.owner]
+        before = np.concatenate(([0], np.cumsum(kept)))
+        self.owner, self.weight, self.starts = self.owner[kept], self.weight[kept], before[self.starts]
+
 
 class Packer:
     """Fills sequences with pieces; `rows` holds finished pieces."""
@@ -235,10 +219,13 @@ class Packer:
             at = self.put(doc_id, ids, at)
 
     def fill(self, docs, block):
-        """Packs every document of the block, each seed with its nearest unused neighbours."""
+        """Packs every document of the block, each seed with its nearest unused neighbours.
+
+        Used documents leave the index whenever half of those in it are used.
+        """
         import numpy as np
 
-        unused = np.ones(len(docs), bool)
+        unused, indexed = np.ones(len(docs), bool), len(docs)
         for first in range(len(docs)):
             if not unused[first]:
                 continue
@@ -246,6 +233,10 @@ class Packer:
             self.place(docs[first])
             seed = first
             while self.used and seed is not None:
+                left = np.count_nonzero(unused)
+                if 2 * left <= indexed:
+                    block.keep(unused)
+                    indexed = left
                 sequence, ranked = self.count, block.neighbours(seed)
                 seed = None
                 for near in ranked[unused[ranked]]:
@@ -284,10 +275,11 @@ def pack(docs, tokenizer_path, end_id=2, window=WINDOW, shard_tokens=4_000_000,
     ship(spark)
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = spark.sparkContext.broadcast(file.read())
-    encoder = encoder_of(spec.value, end_id)
+    ranks = spark.sparkContext.broadcast(ranks_of(spec.value))
+    encoder = encoder_of(spec.value, end_id, ranks.value)
     dtype, size = encoder.dtype, max(encoder.tokenizer.get_vocab_size(), end_id + 1)
     path = new_folder(spark, "packing-ids")
-    encode(docs, spec, end_id).write.option("compression", "zstd").parquet(path)
+    encode(docs, spec, ranks, end_id).write.option("compression", "zstd").parquet(path)
     encoded = spark.read.schema("doc_id long, ids binary").parquet(path)
     counts = {r["term"]: r["n"] for r in statistics(encoded, size, dtype).collect()}
     number, total = counts.get(size, 0), counts.get(size + 1, 0)

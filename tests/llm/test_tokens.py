@@ -168,3 +168,17 @@ def test_neighbours_are_the_related_documents():
     idf[99] = 0.01
     block = packing.Block(docs, idf, 10)
     assert {int(n) % 3 for n in block.neighbours(4)[:4]} == {1}
+
+
+def test_used_documents_leave_the_index():
+    rng = np.random.default_rng(4)
+    docs = [(n, rng.integers(0, 60, rng.integers(1, 40)).astype("<u2")) for n in range(50)]
+    idf = np.log1p(rng.random(60))
+    whole, block, unused = packing.Block(docs, idf, 20), packing.Block(docs, idf, 20), np.ones(50, bool)
+    for used in ([3, 7, 8], range(20, 45), range(50)):
+        unused[list(used)] = False
+        block.keep(unused)
+        assert len(block.owner) == len(block.weight) == block.starts[-1] == sum(len(block.queries[n]) for n in np.flatnonzero(unused))
+        for seed in range(50):
+            ranked, own = whole.neighbours(seed), block.neighbours(seed)
+            assert ranked[unused[ranked]].tolist() == own[unused[own]].tolist()
