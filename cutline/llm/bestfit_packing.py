@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from cutline.llm import bin_completion
 from cutline.llm.common import Recent, documents, new_folder, ship, stored
+from cutline.llm.rank_bpe import encoding_of, ranks_of
 
 WINDOW = 1024
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, place long"
@@ -34,14 +35,18 @@ SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 
 
 class SpacedEncoder:
-    """Ids of a text by a byte-level tokenizer, each word with the space before it encoded once.
+    """Ids of a text by a byte-level tokenizer: whole through the rank library where ids follow from ranks (see `rank_bpe`).
 
-    The pre-token pattern never joins what is not white space to white space behind it, so a text can be cut
-    before each space, unless white space stands on both sides of the space or the text ends with it. Such
-    texts, texts with a special token's string, and all texts if the tokenizer has other steps, go through it whole.
+    If they do not, each word with the space before it is encoded once. The pre-token pattern never joins what is not white
+    space to white space behind it, so a text can be cut before each space, unless white space stands on both sides
+    of the space or the text ends with it. Such texts then, and in any case texts with a special token's string, and all
+    texts if the tokenizer has other steps, go through it whole. `ranks` is what `ranks_of` says about the tokenizer.
     """
 
-    def __init__(self, spec, end_id):
+    # Fixed value: the pattern of the byte-level step.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+    def __init__(self, spec, end_id, ranks=ranks_of):
         import json
 
         import numpy as np
@@ -54,7 +59,10 @@ class SpacedEncoder:
         steps = parts["pre_tokenizer"] or {}
         self.spaced = parts["normalizer"] is None and steps.get("type") == "ByteLevel" and (
             steps.get("use_regex", True) and not steps.get("add_prefix_space"))
-        self.special = [t["content"] for t in parts["added_tokens"]]
+        ranks = ranks(spec) if callable(ranks) else ranks
+        suffix = parts["model"].get("end_of_word_suffix")
+        self.special = {t["content"]: t["id"] for t in parts["added_tokens"]}
+        self.ranked = encoding_of(ranks, self.PATTERN, self.special) if self.spaced and ranks and not suffix else None
         self.unsafe = regex.compile(r"\s (?:\s|\Z)").search
         self.end = np.array([end_id], self.dtype).tobytes()
         self.words = Recent(self._words, most=2_000_000)
@@ -68,8 +76,15 @@ class SpacedEncoder:
     def _words(self, words):
         return self._ids([" " + w for w in words])
 
+    def _ranked_ids(self, text):
+        if any(s in text for s in self.special):
+            return self._ids([text])[0]
+        return self.ranked(text).astype(self.dtype).tobytes()
+
     def encode(self, texts):
         """Little-endian ids of each text with the end id."""
+        if self.ranked:
+            return [self._ranked_ids(text) + self.end for text in texts]
         cut, first, whole = [], [], {}
         for n, text in enumerate(texts):
             if not self.spaced or self.unsafe(text) or any(s in text for s in self.special):
@@ -88,13 +103,13 @@ class SpacedEncoder:
 _encoders = {}
 
 
-def encoder_of(spec, end_id):
+def encoder_of(spec, end_id, ranks=ranks_of):
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     key = (hash(spec), end_id)
     if key not in _encoders:
-        _encoders[key] = SpacedEncoder(spec, end_id)
+        _encoders[key] = SpacedEncoder(spec, end_id, ranks)
     return _encoders[key]
 
 
@@ -103,13 +118,13 @@ def cut_points(size, window):
     return [0, *range(size % window or window, size, window)]
 
 
-def pieces(docs, spec, end_id, window):
+def pieces(docs, spec, ranks, end_id, window):
     """A row per piece with the number it has among its task's pieces of the same length."""
     def run(batches):
         import numpy as np
         from pyspark import TaskContext
 
-        encoder, task = encoder_of(spec.value, end_id), TaskContext.get().partitionId()
+        encoder, task = encoder_of(spec.value, end_id, ranks.value), TaskContext.get().partitionId()
         seen = [0] * (window + 1)
         for batch in batches:
             for at in range(0, len(batch), 200):
@@ -177,7 +192,8 @@ def pack_whole(docs, tokenizer_path, end_id=2, window=WINDOW, nodes=5_000):
     ship(spark)
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = spark.sparkContext.broadcast(file.read())
-    cut = stored(pieces(docs, spec, end_id, window), new_folder(spark, "bestfit-pieces"))
+    ranks = spark.sparkContext.broadcast(ranks_of(spec.value))
+    cut = stored(pieces(docs, spec, ranks, end_id, window), new_folder(spark, "bestfit-pieces"))
     by_task = stored(
         cut.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), new_folder(spark, "bestfit-counts"))
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}

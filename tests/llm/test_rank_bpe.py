@@ -8,13 +8,13 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from cutline.llm import packing
+from cutline.llm import bestfit_packing, packing
 from cutline.llm.rank_bpe import ranks_of
 from tests.llm import plain
 from tests.llm.test_tokens import odd_texts
 
 WORDS, BYTES = (public_tokenizers.path(p) for p in ("word_bpe_49k.json", "byte_bpe_50k.json"))
-KINDS = [(packing.WordEncoder, WORDS)]
+KINDS = [(packing.WordEncoder, WORDS), (bestfit_packing.SpacedEncoder, BYTES)]
 
 
 def read(path):
@@ -54,6 +54,8 @@ def test_without_ranks_the_ids_are_the_same(kind, path):
     texts = odd_texts() + nonsense(100)
     own, other = kind(spec, 2), kind(spec, 2, None)
     assert own.ranked and not other.ranked
+    if kind is bestfit_packing.SpacedEncoder:
+        other.words.most = 500  # a memory that turns over
     for at in range(0, len(texts), 200):
         assert own.encode(texts[at:at + 200]) == other.encode(texts[at:at + 200])
 
@@ -96,4 +98,6 @@ def test_pairs_off_the_ranks_are_seen():
     spec = json.dumps({"version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None,
                        "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True},
                        "post_processor": None, "decoder": None, "model": {"type": "BPE", "vocab": vocab, "merges": merges}})
-    assert ranks_of(spec) is None
+    encoder = bestfit_packing.SpacedEncoder(spec, 2)
+    assert ranks_of(spec) is None and not encoder.ranked
+    assert np.frombuffer(encoder.encode(["cab"])[0], "<u2").tolist() == [vocab["c"], vocab["ab"], 2]
