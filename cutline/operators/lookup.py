@@ -129,9 +129,9 @@ def _metrics():
     label = F.col("likely_round")
     return [
         F.count(F.lit(1)).alias("colleges_found"),
-        F.count_if(label == first).alias("likely_cap1"),
-        F.count_if(label == second).alias("likely_cap2"),
-        F.count_if(label.isin(*late)).alias("likely_cap3_or_4"),
+        F.count(F.when(label == first, 1)).alias("likely_cap1"),
+        F.count(F.when(label == second, 1)).alias("likely_cap2"),
+        F.count(F.when(label.isin(*late), 1)).alias("likely_cap3_or_4"),
     ]
 
 
